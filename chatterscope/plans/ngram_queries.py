@@ -9,30 +9,46 @@ from chatterscope.functions import text as T
 from chatterscope.functions import time as TM
 from chatterscope.operators import ngrams as N
 from chatterscope.plans import fixtures as X
+from chatterscope.plans.catalog import Catalog
 
-QUERIES = {}
-SQL = {}
+CATALOG = Catalog()
+query = CATALOG.query
 
+def _count():
+    return F.count(F.lit(1)).alias("cnt")
 
-def query(sql: str | None = None):
-    """Register a query under its function name, with its SQL counterpart."""
 
-    def register(function):
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            SQL[function.__name__] = sql
-        return function
+def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.comments(spark, sf_dir).select(
+        "id", T.normalize_text(F.col("body")).alias("normalized")
+    )
+
+
+def _community_counts(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
+    comments = X.comments(spark, sf_dir).withColumn(
+        "bucket", TM.bucket_time(F.col("created_utc"), grain)
+    )
+    return N.count_phrases(
+        N.phrases(comments, ["bucket", "community"]), ["bucket", "community"]
+    )
 
-    return register
+
+BUCKETED = (
+    X.TOKENS
+    + """,
+cc AS (SELECT CAST(date_trunc('month', make_timestamp(CAST(created_utc AS BIGINT) * 1000000)) AS DATE) AS bucket,
+              community, n, ngram, count(*) AS cnt FROM phrases GROUP BY ALL),
+bt AS (SELECT bucket, n, CAST(sum(cnt) AS BIGINT) AS total FROM cc GROUP BY ALL),
+gt AS (SELECT n, CAST(sum(cnt) AS BIGINT) AS total FROM cc GROUP BY ALL)"""
+)
+FLOOR = "cnt > CASE WHEN n = 1 THEN 20 ELSE 3 END"
 
 
 @query(
     f"WITH {X.COMMENTS} SELECT id, {X.sql_normalize('body')} AS normalized FROM comments"
 )
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.comments(spark, sf_dir).select(
-        "id", T.normalize_text(F.col("body")).alias("normalized")
-    )
+    return _normalized(spark, sf_dir)
 
 
 @query(
@@ -41,10 +57,10 @@ def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT token, count(*) AS cnt FROM t GROUP BY token"
 )
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = X.comments(spark, sf_dir).select(
-        F.explode(T.tokenize(T.normalize_text(F.col("body")))).alias("token")
+    tokens = _normalized(spark, sf_dir).select(
+        F.explode(T.tokenize(F.col("normalized"))).alias("token")
     )
-    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
+    return tokens.groupBy("token").agg(_count())
 
 
 @query(
@@ -56,8 +72,8 @@ t AS (SELECT id, sentence, regexp_extract_all(s, {X.GLUED_TOKEN_SQL}) AS toks FR
 SELECT id, sentence, array_to_string(flatten([CASE WHEN starts_with(x, chr(2)) THEN string_split(x[2:], '') ELSE [x] END FOR x IN toks]), ' ') AS tokens FROM t"""
 )
 def segment_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sentences = X.comments(spark, sf_dir).select(
-        "id", F.posexplode(T.segment_sentences(T.normalize_text(F.col("body"))))
+    sentences = _normalized(spark, sf_dir).select(
+        "id", F.posexplode(T.segment_sentences(F.col("normalized")))
     )
     return sentences.select(
         "id",
@@ -66,7 +82,163 @@ def segment_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {X.MONTHLY} SELECT * REPLACE (round(percentage, 12) AS percentage) FROM monthly")
+@query(
+    f"""WITH {X.TOKENS}
+SELECT id, string_agg(replace(tok, chr(1), '|'), ' ' ORDER BY pos) AS tokens FROM kept GROUP BY id"""
+)
+def strip_punctuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = T.strip_punctuation(T.sentence_tokens(F.col("normalized")))
+    return (
+        _normalized(spark, sf_dir)
+        .select("id", F.translate(F.array_join(kept, " "), T.BREAK, "|").alias("tokens"))
+        .where(F.col("tokens") != "")
+    )
+
+
+@query(
+    f"""WITH {X.TOKENS}
+SELECT tok AS stop_word, count(*) AS cnt FROM kept WHERE tok IN ({X.STOP_SQL}) GROUP BY tok"""
+)
+def stopword_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each stop word occurs."""
+    tokens = _normalized(spark, sf_dir).select(
+        F.explode(T.strip_punctuation(T.sentence_tokens(F.col("normalized")))).alias("stop_word")
+    )
+    return tokens.where(F.col("stop_word").isin(T.stopword_set())).groupBy("stop_word").agg(_count())
+
+
+@query(f"WITH {X.TOKENS} SELECT ngram, count(*) AS cnt FROM phrases WHERE n = 2 GROUP BY ngram")
+def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = N.phrases(X.comments(spark, sf_dir), [], ns=[2])
+    return pairs.groupBy("ngram").agg(_count())
+
+
+@query(
+    f"""WITH {X.TOKENS},
+s AS (SELECT id, pos, tok, lead(tok) OVER (PARTITION BY id ORDER BY pos) AS nxt FROM kept)
+SELECT id, count(*) AS windows,
+       count(*) FILTER (tok NOT IN ({X.STOP_SQL}) AND nxt NOT IN ({X.STOP_SQL})) AS kept_windows
+FROM s WHERE tok <> chr(1) AND nxt <> chr(1) GROUP BY id"""
+)
+def drop_stopword_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-word windows per comment, with and without those that touch a stop word."""
+    tokens = T.strip_punctuation(T.sentence_tokens(F.col("normalized")))
+    words = _normalized(spark, sf_dir).select(
+        "id",
+        T.phrase_words(tokens, stop_words=[]).alias("all_words"),
+        T.phrase_words(tokens).alias("words"),
+    )
+
+    def windows(column: str):
+        grams = T.ngrams(F.col(column), 2)
+        return F.size(F.filter(grams, lambda g: g.isNotNull())).cast("bigint")
+
+    return words.select(
+        "id", windows("all_words").alias("windows"), windows("words").alias("kept_windows")
+    ).where(F.col("windows") > 0)
+
+
+@query(
+    f"""WITH {X.TOKENS}
+SELECT id, count(w) AS words, count(*) FILTER (length(w) > 1) AS kept_words
+FROM kept GROUP BY id HAVING count(w) > 0"""
+)
+def unigram_min_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single words per comment before and after the length rule."""
+    words = T.phrase_words(T.strip_punctuation(T.sentence_tokens(F.col("normalized"))))
+    split = _normalized(spark, sf_dir).select("id", words.alias("words"))
+    return split.select(
+        "id",
+        F.size(F.filter("words", lambda w: w.isNotNull())).cast("bigint").alias("words"),
+        F.size(F.filter("words", lambda w: T.is_counted(F.lit(1), w)))
+        .cast("bigint")
+        .alias("kept_words"),
+    ).where(F.col("words") > 0)
+
+
+@query(
+    f"WITH {X.MONTHLY} SELECT month, 'allsubreddit' AS community, n, ngram, cnt FROM month_counts"
+)
+def ngram_count_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = N.count_phrases(N.phrases(X.comments(spark, sf_dir), ["month"]), ["month"])
+    return N.label_all(counts)
+
+
+@query(f"WITH {BUCKETED} SELECT * FROM cc")
+def ngram_count_community_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _community_counts(spark, sf_dir)
+
+
+@query(
+    f"""WITH {X.TOKENS},
+d AS (SELECT CAST(make_timestamp(CAST(created_utc AS BIGINT) * 1000000) AS DATE) AS bucket,
+             community, n, ngram, count(*) AS cnt FROM phrases GROUP BY ALL),
+g AS (SELECT n, CAST(sum(cnt) AS BIGINT) AS total FROM d GROUP BY n)
+SELECT bucket, community, n, ngram, cnt, total, round(cnt / CAST(total AS DOUBLE), 12) AS percentage
+FROM d JOIN g USING (n)
+WHERE cnt > CASE WHEN n = 1 THEN greatest(20, floor(1e-7 * total)) ELSE greatest(3, floor(5e-8 * total)) END"""
+)
+def ngram_count_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day and community, n = 1..3, pruned and divided by the total over all days."""
+    counts = _community_counts(spark, sf_dir, "day")
+    return _rounded(N.relative_frequency(N.prune_adaptive(counts)))
+
+
+@query(f"WITH {X.TOKENS} SELECT id, n, count(*) AS cnt FROM phrases GROUP BY id, n")
+def ngram_all_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass over the text for n = 1, 2 and 3."""
+    return N.phrases(X.comments(spark, sf_dir), ["id"]).groupBy("id", "n").agg(_count())
+
+
+@query(f"WITH {BUCKETED} SELECT * FROM bt")
+def bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.totals(_community_counts(spark, sf_dir), ["bucket"])
+
+
+@query(f"WITH {BUCKETED} SELECT * FROM gt")
+def grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.totals(_community_counts(spark, sf_dir))
+
+
+@query(f"WITH {X.MONTHLY} SELECT * EXCLUDE (percentage) FROM monthly")
 def prune_adaptive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = N.monthly_table(X.comments(spark, sf_dir))
-    return table.withColumn("percentage", F.round("percentage", 12))
+    return N.monthly_table(X.comments(spark, sf_dir)).drop("percentage")
+
+
+@query(f"WITH {BUCKETED} SELECT * FROM cc WHERE {FLOOR}")
+def prune_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.above_floor(_community_counts(spark, sf_dir))
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumn("percentage", F.round("percentage", 12))
+
+
+@query(f"WITH {X.MONTHLY} SELECT * REPLACE (round(percentage, 12) AS percentage) FROM monthly")
+def relative_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(N.monthly_table(X.comments(spark, sf_dir)))
+
+
+@query(
+    f"WITH {BUCKETED}, r AS (SELECT community, n, ngram, CAST(sum(cnt) AS BIGINT) AS cnt FROM cc "
+    f"GROUP BY ALL) SELECT r.*, total FROM r JOIN gt USING (n) WHERE {FLOOR}"
+)
+def community_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.community_rollup(_community_counts(spark, sf_dir))
+
+
+@query(
+    f"WITH {BUCKETED} SELECT community, n, ngram, CAST(sum(cnt) AS BIGINT) AS wcount, "
+    f"CAST(sum(total) AS BIGINT) AS total FROM cc JOIN bt USING (bucket, n) WHERE {FLOOR} "
+    "GROUP BY ALL"
+)
+def community_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.community_counters(_community_counts(spark, sf_dir))
+
+
+@query(
+    f"WITH {BUCKETED} SELECT cc.*, total, round(cnt / CAST(total AS DOUBLE), 12) AS percentage "
+    f"FROM cc LEFT JOIN bt USING (bucket, n) WHERE {FLOOR}"
+)
+def join_bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(N.community_table(_community_counts(spark, sf_dir)))

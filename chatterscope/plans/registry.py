@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
-from chatterscope.plans import ngram_queries
+from importlib import import_module
 
-MODULES = (ngram_queries,)
+NAMES = (
+    "source_queries",
+    "table_queries",
+    "filter_queries",
+    "ngram_queries",
+    "activity_queries",
+    "graph_queries",
+    "trend_queries",
+    "page_queries",
+    "search_queries",
+)
+MODULES = []
+for _n in NAMES:
+    try:
+        MODULES.append(import_module("chatterscope.plans." + _n))
+    except ModuleNotFoundError:
+        pass
 
 
 def queries():
-    return {name: q for module in MODULES for name, q in module.QUERIES.items()}
+    return {name: q for module in MODULES for name, q in module.CATALOG.queries.items()}
 
 
 def oracle_sql():
-    return {name: sql for module in MODULES for name, sql in module.SQL.items()}
+    return {name: sql for module in MODULES for name, sql in module.CATALOG.sql.items()}
