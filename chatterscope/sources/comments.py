@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The fields of a comment.  created_utc is text that holds epoch seconds.
-COMMENT_SCHEMA = T.StructType.fromDDL(
+COMMENT_SCHEMA = (
     "archived BOOLEAN, author STRING, author_flair_css_class STRING, body STRING, "
     "controversiality BIGINT, created_utc STRING, distinguished STRING, downs BIGINT, "
     "edited STRING, gilded BIGINT, id STRING, link_id STRING, name STRING, parent_id STRING, "
@@ -19,7 +18,7 @@ MONTH_PATH = r"(\d{4})/RC_(\d{4})-(\d{1,2})(?:/[^/]*)?$"
 
 
 def scan_json_lines(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, corrupt: str | None = None
+    spark: SparkSession, path: str | list[str], schema: str, corrupt: str | None = None
 ) -> DataFrame:
     """JSON lines with the wanted fields only; empty lines are skipped.
 
@@ -27,8 +26,7 @@ def scan_json_lines(
     """
     if corrupt is None:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    kept = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    return spark.read.schema(kept).option("columnNameOfCorruptRecord", corrupt).json(path)
+    return spark.read.schema(f"{schema}, {corrupt} STRING").option("columnNameOfCorruptRecord", corrupt).json(path)
 
 
 def scan_comments_typed(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -54,12 +52,12 @@ def _month(path: Column, pattern: str) -> Column:
 def path_month(keys: DataFrame, key: str = "key") -> DataFrame:
     """Year and month of each file key; directory keys and keys of other depth are left out."""
     month = _month(F.col(key), MONTH_KEY)
-    return keys.where(F.col(key).rlike(MONTH_KEY)).select(
-        key, F.year(month).alias("year"), F.month(month).alias("month")
+    return keys.where(F.col(key).rlike(MONTH_KEY)).withColumns(
+        {"year": F.year(month), "month": F.month(month)}
     )
 
 
-def scan_month_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def scan_month_files(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """All comments below ``root`` with the month of the file they come from."""
     files = spark.read.schema(schema).option("recursiveFileLookup", "true").json(root)
     path = F.col("_metadata.file_path")
