@@ -292,10 +292,10 @@ def export_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_gexf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges and (without dst) nodes of a graph file that Spark wrote."""
     path = fresh_path(spark, "graph-file")
-    G.export_graph(edges(spark, sf_dir)).select("element").write.text(path)
-    nodes = gexf.scan_gexf_nodes(spark, path)
+    gexf.write_gexf(cut_lineage(edges(spark, sf_dir)), path)
+    nodes = gexf.scan_gexf_nodes(spark, f"{path}/nodes")
     return (
-        gexf.scan_gexf_edges(spark, path)
+        gexf.scan_gexf_edges(spark, f"{path}/edges")
         .select("src", "dst", "weight")
         .unionByName(nodes.select(F.col("label").alias("src")), allowMissingColumns=True)
     )

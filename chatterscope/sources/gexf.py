@@ -1,4 +1,7 @@
-"""Graph files: nodes and edges of GEXF XML."""
+"""Graph files: nodes and edges of GEXF XML.
+
+A path is one GEXF file, or a folder of well-formed files with such elements.
+"""
 
 from __future__ import annotations
 
@@ -34,3 +37,27 @@ def scan_gexf_edges(spark: SparkSession, path: str) -> DataFrame:
         F.col("_target").alias("dst"),
         F.coalesce("_weight", F.lit(1)).cast("bigint").alias("weight"),
     )
+
+
+def write_gexf(edges: DataFrame, path: str) -> None:
+    """Write ``path``/nodes and ``path``/edges, each part file a well-formed XML document."""
+
+    def write(rows: DataFrame, kind: str) -> None:
+        (
+            rows.write.format("xml")
+            .option("rootTag", f"{kind}s")
+            .option("rowTag", kind)
+            .save(f"{path}/{kind}s")
+        )
+
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("_id")).distinct()
+    write(nodes.withColumn("_label", F.col("_id")), "node")
+    write(
+        edges.select(
+            F.sha2(F.concat_ws("\x01", "src", "dst"), 256).alias("_id"),
+            F.col("src").alias("_source"),
+            F.col("dst").alias("_target"),
+            F.col("weight").alias("_weight"),
+        ),
+        "edge",
+    )
