@@ -24,7 +24,7 @@ def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _community_counts(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
+def community_counts(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
     comments = X.comments(spark, sf_dir).withColumn(
         "bucket", TM.bucket_time(F.col("created_utc"), grain)
     )
@@ -166,7 +166,7 @@ def ngram_count_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BUCKETED} SELECT * FROM cc")
 def ngram_count_community_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _community_counts(spark, sf_dir)
+    return community_counts(spark, sf_dir)
 
 
 @query(
@@ -180,7 +180,7 @@ WHERE cnt > CASE WHEN n = 1 THEN greatest(20, floor(1e-7 * total)) ELSE greatest
 )
 def ngram_count_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day and community, n = 1..3, pruned and divided by the total over all days."""
-    counts = _community_counts(spark, sf_dir, "day")
+    counts = community_counts(spark, sf_dir, "day")
     return _rounded(N.relative_frequency(N.prune_adaptive(counts)))
 
 
@@ -192,12 +192,12 @@ def ngram_all_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BUCKETED} SELECT * FROM bt")
 def bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.totals(_community_counts(spark, sf_dir), ["bucket"])
+    return N.totals(community_counts(spark, sf_dir), ["bucket"])
 
 
 @query(f"WITH {BUCKETED} SELECT * FROM gt")
 def grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.totals(_community_counts(spark, sf_dir))
+    return N.totals(community_counts(spark, sf_dir))
 
 
 @query(f"WITH {X.MONTHLY} SELECT * EXCLUDE (percentage) FROM monthly")
@@ -207,7 +207,7 @@ def prune_adaptive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BUCKETED} SELECT * FROM cc WHERE {FLOOR}")
 def prune_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.above_floor(_community_counts(spark, sf_dir))
+    return N.above_floor(community_counts(spark, sf_dir))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def relative_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"GROUP BY ALL) SELECT r.*, total FROM r JOIN gt USING (n) WHERE {FLOOR}"
 )
 def community_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.community_rollup(_community_counts(spark, sf_dir))
+    return N.community_rollup(community_counts(spark, sf_dir))
 
 
 @query(
@@ -233,7 +233,7 @@ def community_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     "GROUP BY ALL"
 )
 def community_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.community_counters(_community_counts(spark, sf_dir))
+    return N.community_counters(community_counts(spark, sf_dir))
 
 
 @query(
@@ -241,4 +241,4 @@ def community_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"FROM cc LEFT JOIN bt USING (bucket, n) WHERE {FLOOR}"
 )
 def join_bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(N.community_table(_community_counts(spark, sf_dir)))
+    return _rounded(N.community_table(community_counts(spark, sf_dir)))
