@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-from importlib import import_module
+from chatterscope.plans import (
+    activity_queries,
+    filter_queries,
+    graph_queries,
+    ngram_queries,
+    page_queries,
+    search_queries,
+    source_queries,
+    table_queries,
+    trend_queries,
+)
 
-NAMES = (
-    "source_queries",
-    "table_queries",
-    "filter_queries",
-    "ngram_queries",
-    "activity_queries",
-    "graph_queries",
-    "trend_queries",
-    "page_queries",
-    "search_queries",
+MODULES = (
+    source_queries,
+    table_queries,
+    filter_queries,
+    ngram_queries,
+    activity_queries,
+    graph_queries,
+    trend_queries,
+    page_queries,
+    search_queries,
 )
-MODULES = []
-for _n in NAMES:
-    try:
-        MODULES.append(import_module("chatterscope.plans." + _n))
-    except ModuleNotFoundError:
-        pass
 
 
 def queries():
