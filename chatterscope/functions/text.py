@@ -84,15 +84,23 @@ def _where(
     return _let(text, lambda t: F.when(present(t), change(t)).otherwise(t))
 
 
+def _replace_urls(text: Column) -> Column:
+    """No link holds a space, so only the pieces that may be one are searched."""
+
+    def replaced(piece: Column) -> Column:
+        may_be = F.contains(piece, F.lit(".")) & piece.rlike(URL_HINT)
+        return F.when(may_be, F.regexp_replace(piece, URL, C.URL_MARK)).otherwise(piece)
+
+    return F.array_join(F.transform(F.split(text, " ", -1), replaced), " ")
+
+
 def normalize_text(text: Column) -> Column:
     """Lower-case and replace links, entities, images and escapes by placeholders."""
 
     def holds(mark: str) -> Callable[[Column], Column]:
         return lambda t: F.contains(t, F.lit(mark))
 
-    text = _where(
-        F.lower(text), lambda t: t.rlike(URL_HINT), lambda t: F.regexp_replace(t, URL, C.URL_MARK)
-    )
+    text = _where(F.lower(text), lambda t: t.rlike(URL_HINT), _replace_urls)
     text = _where(
         text, holds("http://"), lambda t: F.regexp_replace(t, SHORT_URL, C.SHORT_URL_MARK)
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterscope import constants as C
+from chatterscope.session import cut_lineage
 
 PAIR_BLOCK = 1000
 ADJACENCY_PART = 10_000
@@ -41,15 +42,16 @@ def co_membership_pairs(
     """
     key = [*also, "author"]
     members = members.select(*key, "community")
-    large = (
+    # authors of one community have no pair and go before anything is paired
+    sizes = (
         members.groupBy(*key)
-        .agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-        .where(F.col("blocks") > 1)
+        .agg(F.count(F.lit(1)).alias("size"))
+        .where(F.col("size") > 1)
+        .select(*key, F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     )
-    dealt = members.join(large, key, "left").withColumn(
-        "blocks", F.coalesce("blocks", F.lit(1))
+    dealt = members.join(sizes, key).withColumn(
+        "b", F.pmod(F.xxhash64("community"), F.col("blocks")).cast("int")
     )
-    dealt = dealt.withColumn("b", F.pmod(F.xxhash64("community"), F.col("blocks")).cast("int"))
     left = dealt.select(
         *key,
         F.col("community").alias("a"),
@@ -74,8 +76,10 @@ def edge_weights(
     """Number of common authors per pair, for pairs with more than ``more_than``.
 
     A community with that few members cannot be on such an edge and is left out before pairing.
-    Pairs are counted in the task that makes them; only partial counts are shuffled.
+    Pairs are counted in the task that makes them; only partial counts are shuffled.  The members,
+    which are few next to the comments, are written once because they are read several times.
     """
+    members = cut_lineage(members)
     if more_than > 0:
         key = [*also, "community"]
         large_enough = (
@@ -190,8 +194,12 @@ def edge_weight_range(edges: DataFrame, also: Sequence[str] = ()) -> DataFrame:
 def graph_by_year(
     edges: DataFrame, below: int = C.HUB_DEGREE, also: Sequence[str] = ("year",)
 ) -> DataFrame:
-    """The published graph of every year: relative pruning, skipped nodes, hubs dropped."""
-    return drop_hubs(exclude_nodes(prune_edges_relative(edges, also)), also, below)
+    """The published graph of every year: relative pruning, skipped nodes, hubs dropped.
+
+    ``edges`` should be a stored table, as it is read twice; so is the pruned graph.
+    """
+    pruned = cut_lineage(exclude_nodes(prune_edges_relative(edges, also)))
+    return drop_hubs(pruned, also, below)
 
 
 def ego_network(edges: DataFrame, label: str, also: Sequence[str] = ()) -> DataFrame:

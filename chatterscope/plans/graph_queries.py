@@ -72,12 +72,13 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.edge_weights(members(spark, sf_dir), more_than=2)
+    """Edges as a stored table, as later steps read them more than once."""
+    return cut_lineage(G.edge_weights(members(spark, sf_dir), more_than=2))
 
 
 def year_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     yearly = bought(spark, sf_dir).select("year", "author", "community").distinct()
-    return G.edge_weights(yearly, ["year"], more_than=3)
+    return cut_lineage(G.edge_weights(yearly, ["year"], more_than=3))
 
 
 @query(f"WITH {BOUGHT} SELECT * FROM pairs")
@@ -218,7 +219,7 @@ ROUNDS = 3
 
 @query(f"{_labels_sql(ROUNDS)} SELECT node, community FROM l{ROUNDS}")
 def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.communities(cut_lineage(edges(spark, sf_dir)), ROUNDS)
+    return clustering.communities(edges(spark, sf_dir), ROUNDS)
 
 
 @query(
@@ -231,7 +232,7 @@ SELECT count(*) AS classes, round(sum(2 * coalesce(inside, 0)) / sum(strength)::
 FROM s LEFT JOIN i USING (community)"""
 )
 def modularity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = cut_lineage(edges(spark, sf_dir))
+    kept = edges(spark, sf_dir)
     score = clustering.modularity(kept, clustering.communities(kept, ROUNDS))
     return score.withColumn("modularity", F.round("modularity", 9))
 
@@ -292,7 +293,7 @@ def export_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_gexf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges and (without dst) nodes of a graph file that Spark wrote."""
     path = fresh_path(spark, "graph-file")
-    gexf.write_gexf(cut_lineage(edges(spark, sf_dir)), path)
+    gexf.write_gexf(edges(spark, sf_dir), path)
     nodes = gexf.scan_gexf_nodes(spark, f"{path}/nodes")
     return (
         gexf.scan_gexf_edges(spark, f"{path}/edges")

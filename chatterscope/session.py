@@ -40,8 +40,6 @@ def shared_folder(spark: SparkSession) -> str:
         if _local_folder is None:
             _local_folder = tempfile.mkdtemp(prefix="chatterscope-")
         folder = _local_folder
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -51,9 +49,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and go on from there (survives lost executors)."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and go on from there.
+
+    The result is computed once however often it is used, survives lost executors, and has a known
+    size, by which Spark decides on broadcasts.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
