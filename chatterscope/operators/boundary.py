@@ -36,7 +36,8 @@ def candidates(documents: DataFrame, marks=TRAINED_MARKS, id: str = "id") -> Dat
     zipped = F.filter(
         F.arrays_zip("tok", "prev", "next", "after", "pos"), lambda z: z["tok"].isin(list(marks))
     )
-    rows = tokens.select(id, F.inline(zipped)).where(F.col("prev").isNotNull())
+    # outer, so that Spark does not compute the arrays once more to test them
+    rows = tokens.select(id, F.inline_outer(zipped)).where(F.col("prev").isNotNull())
     ends_line = F.coalesce(F.col("next").startswith("\n"), F.lit(False))
     word = F.coalesce(F.when(ends_line, F.col("after")).otherwise(F.col("next")), F.lit(""))
     first = F.substring(word, 1, 1)
@@ -102,42 +103,30 @@ def boundary_model_fit(labelled: DataFrame, label: str = "ends_line") -> DataFra
 def boundary_model_score(found: DataFrame, model: DataFrame) -> DataFrame:
     """Adds true_log, false_log and boundary to candidates.
 
-    The small features have at most two values or one per mark, so their combinations are scored
-    once and broadcast.  Previous words are as many as the vocabulary: they are joined without a
-    hint, and AQE splits frequent ones.
+    Priors, defaults and the values of the small features are about a dozen numbers (two per flag,
+    one per trained mark) and come as one map.  Previous words are as many as the vocabulary: they
+    are joined without a hint, and AQE splits frequent ones.
     """
-    combos = found.select(*SMALL_FEATURES).distinct()
-    unseen = model.where(F.col("value").isNull())
-    for feature in SMALL_FEATURES:
-        seen = model.where((F.col("feature") == feature) & F.col("value").isNotNull()).select(
-            F.col("value").alias(feature),
-            F.col("true_log").alias(f"{feature}_true"),
-            F.col("false_log").alias(f"{feature}_false"),
-        )
-        combos = combos.join(F.broadcast(seen), feature, "left")
-    for side in ("true", "false"):
-        prior = model.where(F.col("feature") == "label").select(f"{side}_log").scalar()
-        total = prior
-        for feature in SMALL_FEATURES:
-            default = unseen.where(F.col("feature") == feature).select(f"{side}_log").scalar()
-            total = total + F.coalesce(f"{feature}_{side}", default)
-        combos = combos.withColumn(f"small_{side}", total)
-    combos = combos.select(*SMALL_FEATURES, "small_true", "small_false")
+    small = model.where((F.col("feature") != "prevword") | F.col("value").isNull())
+    logs = F.struct("true_log", "false_log")
+    key = F.concat_ws(":", F.col("feature"), F.coalesce("value", F.lit("?")))
+    known = small.agg(F.map_from_entries(F.collect_list(F.struct(key, logs))).alias("m")).scalar()
 
     words = model.where((F.col("feature") == "prevword") & F.col("value").isNotNull()).select(
         F.col("value").alias("prevword"),
         F.col("true_log").alias("word_true"),
         F.col("false_log").alias("word_false"),
     )
-    scored = found.join(F.broadcast(combos), list(SMALL_FEATURES)).join(words, "prevword", "left")
-    for side in ("true", "false"):
-        default = unseen.where(F.col("feature") == "prevword").select(f"{side}_log").scalar()
-        scored = scored.withColumn(
-            f"{side}_log", F.col(f"small_{side}") + F.coalesce(f"word_{side}", default)
-        )
-    return scored.select(
-        *found.columns,
-        "true_log",
-        "false_log",
-        (F.col("true_log") > F.col("false_log")).alias("boundary"),
+
+    def total(side: str) -> Column:
+        column = f"{side}_log"
+        logs = known["label:"][column]
+        for feature in SMALL_FEATURES:
+            seen = known[F.concat(F.lit(f"{feature}:"), F.col(feature))]
+            logs = logs + F.coalesce(seen[column], known[f"{feature}:?"][column])
+        return logs + F.coalesce(f"word_{side}", known["prevword:?"][column])
+
+    scored = found.join(words, "prevword", "left").select(
+        *found.columns, total("true").alias("true_log"), total("false").alias("false_log")
     )
+    return scored.withColumn("boundary", F.col("true_log") > F.col("false_log"))

@@ -23,8 +23,18 @@ def words_of(documents: DataFrame, text: str = "text", id: str = "id") -> DataFr
 def postings(documents: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
     """term, id, tf, length.  The length rides along, so that scoring needs no second join."""
     words = words_of(documents, text, id).withColumn("length", F.size("words"))
-    terms = words.select("id", "length", F.explode("words").alias("term"))
-    return terms.groupBy("term", "id", "length").agg(F.count(F.lit(1)).alias("tf"))
+    # an outer explode: before an inner one Spark would test the array, tokenizing every text twice
+    terms = words.select("id", "length", F.explode_outer("words").alias("term"))
+    return terms.where(F.col("term").isNotNull()).groupBy("term", "id", "length").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def write_postings(index: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Store postings in term order, so that a search skips all files but those of its terms.
+
+    Ranges are cut by (term, id): a term in most documents is spread over several files.
+    """
+    keys = ["term", "id"] if partitions is None else [partitions, "term", "id"]
+    index.repartitionByRange(*keys).sortWithinPartitions("term", "id").write.parquet(path)
 
 
 def corpus_stats(documents: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
@@ -49,7 +59,8 @@ def text_match(
     """
     terms = query_terms(query)
     hits = index.where(F.col("term").isin(terms))
-    found_in = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # counting tf > 0 keeps both uses of the hits alike, so that Spark computes them once
+    found_in = hits.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     documents = stats.select("documents").scalar()
     avg_length = stats.select("avg_length").scalar()
     idf = F.ln(1 + (documents - F.col("df") + 0.5) / (F.col("df") + 0.5))

@@ -58,9 +58,9 @@ def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = _normalized(spark, sf_dir).select(
-        F.explode(T.tokenize(F.col("normalized"))).alias("token")
+        F.explode_outer(T.tokenize(F.col("normalized"))).alias("token")
     )
-    return tokens.groupBy("token").agg(_count())
+    return tokens.where(F.col("token").isNotNull()).groupBy("token").agg(_count())
 
 
 @query(
@@ -73,9 +73,9 @@ SELECT id, sentence, array_to_string(flatten([CASE WHEN starts_with(x, chr(2)) T
 )
 def segment_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentences = _normalized(spark, sf_dir).select(
-        "id", F.posexplode(T.segment_sentences(F.col("normalized")))
+        "id", F.posexplode_outer(T.segment_sentences(F.col("normalized")))
     )
-    return sentences.select(
+    return sentences.where(F.col("col").isNotNull()).select(
         "id",
         (F.col("pos") + 1).cast("bigint").alias("sentence"),
         F.array_join("col", " ").alias("tokens"),
@@ -102,7 +102,9 @@ SELECT tok AS stop_word, count(*) AS cnt FROM kept WHERE tok IN ({X.STOP_SQL}) G
 def stopword_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each stop word occurs."""
     tokens = _normalized(spark, sf_dir).select(
-        F.explode(T.strip_punctuation(T.sentence_tokens(F.col("normalized")))).alias("stop_word")
+        F.explode_outer(T.strip_punctuation(T.sentence_tokens(F.col("normalized")))).alias(
+            "stop_word"
+        )
     )
     return tokens.where(F.col("stop_word").isin(T.stopword_set())).groupBy("stop_word").agg(_count())
 

@@ -93,8 +93,9 @@ def filter_page_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = P.extract_links(F.col("text"))
     found = parse_page_xml(spark, sf_dir).select(
-        "page_id", F.posexplode(links).alias("pos", "target")
+        "page_id", F.posexplode_outer(links).alias("pos", "target")
     )
+    found = found.where(F.col("target").isNotNull())
     return found.withColumn("pos", (F.col("pos") + 1).cast("bigint"))
 
 
@@ -186,9 +187,8 @@ def upsert_set_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     linksto = F.array_sort(F.array_distinct("links")).alias("linksto")
     tables.write_batches(pages.select("batch", "title", "id", linksto), f"{path}/pages")
-    tables.write_batches(
-        pages.select("batch", F.explode("links").alias("target"), "title"), f"{path}/links"
-    )
+    links = pages.select("batch", F.explode_outer("links").alias("target"), "title")
+    tables.write_batches(links.where(F.col("target").isNotNull()), f"{path}/links")
     table = tables.upsert_set_union(
         tables.read_batches(spark, f"{path}/pages"), tables.read_batches(spark, f"{path}/links")
     )

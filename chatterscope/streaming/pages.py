@@ -45,7 +45,9 @@ def page_rows(pages: DataFrame) -> DataFrame:
 
 
 def link_rows(pages: DataFrame) -> DataFrame:
-    return pages.select(F.explode("links").alias("target"), "title").distinct()
+    # outer, so that Spark does not parse every page once more to test its links
+    links = pages.select(F.explode_outer("links").alias("target"), "title")
+    return links.where(F.col("target").isNotNull()).distinct()
 
 
 def _start(writer, trigger: dict | None) -> StreamingQuery:
