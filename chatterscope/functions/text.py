@@ -177,15 +177,20 @@ def phrase_words(tokens: Column, stop_words: Sequence[str] | None = None) -> Col
     return F.transform(tokens, lambda t: F.when(~t.isin(barriers), t))
 
 
+def extend_ngrams(shorter: Column, words: Column, n: int) -> Column:
+    """Windows of n words from those of n - 1: each followed by the word after it."""
+    following = F.slice(words, n, F.size(words))
+    return F.zip_with(shorter, following, lambda a, b: F.concat(a, F.lit(" "), b))
+
+
 def ngrams(words: Column, n: int) -> Column:
     """All windows of n words as strings; NULL where a window touches a barrier.
 
     ``words`` is used n times, so give it as a column of an earlier select, not as an expression.
     """
     grams = words
-    for ahead in range(1, n):
-        shifted = F.slice(words, ahead + 1, F.size(words))
-        grams = F.zip_with(grams, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+    for length in range(2, n + 1):
+        grams = extend_ngrams(grams, words, length)
     return grams
 
 

@@ -11,7 +11,7 @@ from chatterscope.plans import fixtures as X
 from chatterscope.plans.catalog import Catalog
 from chatterscope.plans.source_queries import FOLLOWERS, follower_edges
 from chatterscope.session import cut_lineage, fresh_path
-from chatterscope.sources import gexf
+from chatterscope.sources import gexf, tables
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -270,7 +270,7 @@ def influential_followers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_for_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph of the last year, from a table partitioned by year."""
     path = fresh_path(spark, "yearly-graphs")
-    G.graph_by_year(year_edges(spark, sf_dir), HUB_BELOW).write.partitionBy("year").parquet(path)
+    tables.write_partitioned(G.graph_by_year(year_edges(spark, sf_dir), HUB_BELOW), path, ["year"])
     graphs = spark.read.parquet(path)
     last = graphs.agg(F.max("year").cast("bigint").alias("last")).first()["last"]
     return graphs.where(F.col("year") == last).select("src", "dst", "weight")

@@ -9,7 +9,7 @@ from chatterscope.plans import fixtures as X
 from chatterscope.plans.catalog import Catalog
 from chatterscope.session import fresh_path
 from chatterscope.sources import comments as CM
-from chatterscope.sources import lists, messages
+from chatterscope.sources import lists, messages, tables
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -90,12 +90,10 @@ def path_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 def select_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comments of a whole year from a table partitioned by year and month."""
     path = fresh_path(spark, "partitioned-comments")
-    (
-        X.comments(spark, sf_dir)
-        .withColumns({"year": F.year("month"), "month": F.month("month")})
-        .write.partitionBy("year", "month")
-        .parquet(path)
+    dated = X.comments(spark, sf_dir).withColumns(
+        {"year": F.year("month"), "month": F.month("month")}
     )
+    tables.write_partitioned(dated, path, ["year", "month"])
     chosen = CM.select_period(spark.read.parquet(path), 2008)
     return chosen.groupBy("month", "community").agg(F.count(F.lit(1)).alias("comments"))
 

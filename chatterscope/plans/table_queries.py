@@ -70,7 +70,7 @@ def merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacency rows written by year, read back and laid out as edges."""
     path = fresh_path(spark, "adjacency")
-    G.adjacency_map(year_edges(spark, sf_dir), ["year"]).write.partitionBy("year").parquet(path)
+    tables.write_partitioned(G.adjacency_map(year_edges(spark, sf_dir), ["year"]), path, ["year"])
     edges = G.adjacency_edges(spark.read.parquet(path), ["year"])
     return edges.select("year", F.col("src").alias("node1"), F.col("dst").alias("neighbour"), "weight")
 

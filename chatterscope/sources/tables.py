@@ -14,16 +14,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_batches(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write the rows of all batches in ``df`` (column batch), replacing those batches."""
+def write_partitioned(
+    df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+) -> None:
+    """Replace those partitions of a table that ``df`` has rows for.
+
+    The rebalance hint gathers the rows of a partition for few files and lets AQE split a partition
+    that holds most rows over several tasks.  Files sorted by a lookup key can be skipped by it.
+    """
+    rows = df.hint("rebalance", *partition_by)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     (
-        df.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch", *partition_by)
+        .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
+def write_batches(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> None:
+    """Write the rows of all batches in ``df`` (column batch), replacing those batches."""
+    write_partitioned(df, path, ["batch", *partition_by], sort_by)
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
