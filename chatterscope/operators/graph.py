@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from chatterscope import constants as C
 from chatterscope.session import cut_lineage
 
-PAIR_BLOCK = 1000
+PAIR_BLOCK = 500
 ADJACENCY_PART = 10_000
 
 
@@ -52,12 +52,14 @@ def co_membership_pairs(
     dealt = members.join(sizes, key).withColumn(
         "b", F.pmod(F.xxhash64("community"), F.col("blocks")).cast("int")
     )
+    # members are few rows but make many pairs: a fixed number of tasks, which AQE does not merge
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = dealt.select(
         *key,
         F.col("community").alias("a"),
         F.col("b").alias("i"),
         F.explode(F.sequence("b", F.col("blocks") - 1)).alias("j"),
-    )
+    ).repartition(tasks, *key, "i", "j")
     right = dealt.select(
         *key,
         F.col("community").alias("c"),
