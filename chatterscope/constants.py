@@ -41,7 +41,6 @@ ACTIVE_COMMENTS = 50
 EDGE_AUTHORS = 5
 RELATIVE_WEIGHT = 0.2
 HUB_DEGREE = 100
-ADJACENCY_ROWS_PER_YEAR = 100_000
 
 # Month spine of the trend charts (end exclusive) and sizes of reports.
 FIRST_MONTH = "2007-10-01"

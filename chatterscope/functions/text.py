@@ -201,4 +201,4 @@ def is_counted(n: Column, ngram: Column) -> Column:
 
 def contains_any(tokens: Column, terms: Sequence[str]) -> Column:
     """Whether a token array holds any of a short list of terms."""
-    return F.arrays_overlap(tokens, F.array(*[F.lit(t) for t in terms]))
+    return F.exists(tokens, lambda t: t.isin(list(terms)))

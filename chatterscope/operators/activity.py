@@ -10,6 +10,9 @@ from chatterscope.functions import time as TM
 from chatterscope.operators.filters import filter_system_accounts
 
 
+METRICS = ("comments", "authors", "communities")
+
+
 def daily_stats(comments: DataFrame, approximate: bool = False) -> DataFrame:
     """Per day: distinct communities, comments, distinct authors.
 
@@ -54,8 +57,8 @@ def multi_community_authors(members: DataFrame, *also: str) -> DataFrame:
 def stats_series(stats: DataFrame) -> DataFrame:
     """Daily statistics as rows (metric, ts_ms, value), in time order."""
     return (
-        stats.select(TM.epoch_millis(F.col("date")).alias("ts_ms"), "comments", "authors", "communities")
-        .unpivot("ts_ms", ["comments", "authors", "communities"], "metric", "value")
+        stats.select(TM.epoch_millis(F.col("date")).alias("ts_ms"), *METRICS)
+        .unpivot("ts_ms", list(METRICS), "metric", "value")
         .select("metric", "ts_ms", "value")
         .orderBy("ts_ms", "metric")
     )

@@ -16,7 +16,8 @@ def communities(edges: DataFrame, rounds: int = 5, also: Sequence[str] = ()) ->
 
     All nodes start with their own name and take, in every round, the label with the largest
     weight among their neighbours and themselves (their own label counts with weight 1, which
-    calms oscillation); ties go to the smaller label.  Every round's labels are written, which keeps plans short.
+    calms oscillation); ties go to the smaller label.  Every round's labels are written, which
+    keeps plans short.
     """
     arcs = edges.select(*also, "src", "dst", "weight").unionByName(
         edges.select(*also, F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")

@@ -25,7 +25,8 @@ def postings(documents: DataFrame, text: str = "text", id: str = "id") -> DataFr
     words = words_of(documents, text, id).withColumn("length", F.size("words"))
     # an outer explode: before an inner one Spark would test the array, tokenizing every text twice
     terms = words.select("id", "length", F.explode_outer("words").alias("term"))
-    return terms.where(F.col("term").isNotNull()).groupBy("term", "id", "length").agg(F.count(F.lit(1)).alias("tf"))
+    found = terms.where(F.col("term").isNotNull())
+    return found.groupBy("term", "id", "length").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def write_postings(index: DataFrame, path: str, partitions: int | None = None) -> None:

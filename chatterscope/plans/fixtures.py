@@ -64,6 +64,7 @@ COMMENTS = (
 
 # --- text rules in SQL, written apart from the column expressions ------------------------------
 
+# The patterns that the lower-cased text is searched for, in this order.
 _W = r"\p{L}\p{N}_"
 _S = r" \t\n\x0B\f\r"
 _SUBS = (

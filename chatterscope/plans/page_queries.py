@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterscope.functions import pages as P
-from chatterscope.operators import filters
 from chatterscope.plans import fixtures as X
 from chatterscope.plans.catalog import Catalog
 from chatterscope.plans.filter_queries import TRACKED

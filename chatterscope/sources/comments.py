@@ -38,7 +38,8 @@ def scan_comments_typed(spark: SparkSession, path: str | list[str]) -> DataFrame
 
 def as_community_comments(comments: DataFrame) -> DataFrame:
     """The columns that the operators use."""
-    return comments.select("id", "author", "body", "created_utc", F.col("subreddit").alias("community"))
+    community = F.col("subreddit").alias("community")
+    return comments.select("id", "author", "body", "created_utc", community)
 
 
 def _month(path: Column, pattern: str) -> Column:

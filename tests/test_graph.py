@@ -4,7 +4,6 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
-from pyspark.sql import functions as F
 
 from chatterscope.operators import activity as A
 from chatterscope.operators import clustering, followers

@@ -1,7 +1,6 @@
 """Batch tables: repeated batches change nothing."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from chatterscope.session import fresh_path
 from chatterscope.sources import tables
