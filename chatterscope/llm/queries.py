@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import piece_bpe, token_counts
+from chatterscope.llm import decontamination, piece_bpe, sentence_spans, token_counts
 from chatterscope.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -41,3 +41,50 @@ def op10_piece_bpe(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@CATALOG.query(
+    r"""
+    WITH doc AS (
+        SELECT doc_id, hash(doc_id, text) AS key,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    item AS (
+        SELECT item_id,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark),
+    cut AS (SELECT item_id, w, unnest(range(greatest(len(w) - 10, 0) + 1)) AS i FROM item WHERE len(w) > 0),
+    win AS (
+        SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i + 1 : i + 10], ' ') AS s FROM cut),
+    size AS (SELECT DISTINCT n FROM win),
+    gram AS (
+        SELECT key, n, i, array_to_string(w[i + 1 : i + n], ' ') AS s
+        FROM (SELECT key, n, w, unnest(range(len(w) - n + 1)) AS i FROM doc, size WHERE len(w) >= n)),
+    hit AS (SELECT DISTINCT gram.key, gram.n, gram.i, win.item_id FROM gram JOIN win USING (n, s)),
+    covered AS (SELECT key, count(DISTINCT p) AS n_hit FROM (SELECT key, unnest(range(i, i + n)) AS p FROM hit) GROUP BY key),
+    names AS (
+        SELECT key, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT key, item_id::VARCHAR AS id FROM hit) GROUP BY key)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc LEFT JOIN covered USING (key) LEFT JOIN names USING (key)
+    """
+)
+def op1_decontamination(spark, sf_dir):
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@CATALOG.query()
+def op5_sentence_spans(spark, sf_dir):
+    cleaned = sentence_spans.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_sentences", "n_removed", "text")
