@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import decontamination, piece_bpe, sentence_spans, token_counts
+from chatterscope.llm import decontamination, near_duplicates, piece_bpe, sentence_spans, token_counts
 from chatterscope.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -88,3 +88,9 @@ def op1_decontamination(spark, sf_dir):
 def op5_sentence_spans(spark, sf_dir):
     cleaned = sentence_spans.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_sentences", "n_removed", "text")
+
+
+@CATALOG.query()
+def op6_near_duplicates(spark, sf_dir):
+    found = near_duplicates.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_copies", "n_links")
