@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import decontamination, near_duplicates, piece_bpe, sentence_spans, token_counts
+from chatterscope.llm import decontamination, near_duplicates, piece_bpe, sentence_spans, token_counts, toxicity
 from chatterscope.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -94,3 +94,26 @@ def op5_sentence_spans(spark, sf_dir):
 def op6_near_duplicates(spark, sf_dir):
     found = near_duplicates.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_copies", "n_links")
+
+
+TOXICITY_FOLDS = 3
+
+
+def toxicity_model(spark, docs, sf_dir):
+    """Fitted on the labels of the rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.fit(docs, labels.filter(toxicity.fold(F.col("doc_id"), TOXICITY_FOLDS) != 1))
+
+
+@CATALOG.query()
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = toxicity.rejected(docs, toxicity_model(spark, docs, sf_dir))
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id"), TOXICITY_FOLDS) == 1, F.lit(False))
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "rejected",
+    )
