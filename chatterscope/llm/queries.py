@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import decontamination, near_duplicates, piece_bpe, sentence_spans, token_counts, toxicity
+from chatterscope.llm import decontamination, kneser_ney, near_duplicates, piece_bpe, sentence_spans, token_counts, toxicity
 from chatterscope.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -117,3 +117,11 @@ def op2_toxicity(spark, sf_dir):
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         "rejected",
     )
+
+
+@CATALOG.query()
+def op9_kneser_ney(spark, sf_dir):
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    scored = kneser_ney.score(docs, kneser_ney.train(docs.filter("NOT held_out")))
+    return scored.drop("text")
