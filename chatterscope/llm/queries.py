@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import decontamination, kneser_ney, near_duplicates, piece_bpe, sentence_spans, token_counts, toxicity
+from chatterscope.llm import decontamination, kneser_ney, near_duplicates, piece_bpe, sentence_spans, token_counts, toxicity, winnowing
 from chatterscope.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -125,3 +125,8 @@ def op9_kneser_ney(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
     scored = kneser_ney.score(docs, kneser_ney.train(docs.filter("NOT held_out")))
     return scored.drop("text")
+
+
+@CATALOG.query()
+def op4_winnowing(spark, sf_dir):
+    return winnowing.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
