@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import decontamination, kneser_ney, near_duplicates, piece_bpe, sentence_spans, token_counts, toxicity, winnowing
+from chatterscope.llm import decontamination, kneser_ney, near_duplicates, piece_bpe, sentence_spans, token_counts, token_files, toxicity, winnowing
 from chatterscope.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -130,3 +130,11 @@ def op9_kneser_ney(spark, sf_dir):
 @CATALOG.query()
 def op4_winnowing(spark, sf_dir):
     return winnowing.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@CATALOG.query()
+def op7_token_files(spark, sf_dir):
+    folder = token_files.written(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0)
+    return token_files.read(spark, folder).select(
+        "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
