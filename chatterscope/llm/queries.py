@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import decontamination, kneser_ney, near_duplicates, piece_bpe, sentence_spans, token_counts, token_files, toxicity, winnowing
+from chatterscope.llm import decontamination, kneser_ney, near_duplicates, piece_bpe, sentence_spans, token_counts, token_files, tool_calls, toxicity, winnowing
 from chatterscope.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -138,3 +138,52 @@ def op7_token_files(spark, sf_dir):
     return token_files.read(spark, folder).select(
         "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
+
+
+#: The tools that turns of conversations are taken to call.
+TOOLS = [
+    ("search", "query", "string", True),
+    ("search", "words", "integer", True),
+    ("search", "exact", "boolean", False),
+    ("translate", "query", "string", True),
+    ("translate", "words", "integer", False),
+]
+
+
+def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results in conversations without tools: each turn of a user or system calls a tool with
+    its text, and an assistant's turn is the result of the turn before it.
+
+    The length of a text chooses tool, faults in the arguments, and the turn needed: one of the two
+    neighbours in the same eight turns.
+    """
+    n, t = F.length("text"), F.col("turn")
+    arguments = F.to_json(
+        F.struct(
+            F.when(n % 13 == 0, F.lit("any")).alias("tone"),
+            F.col("text").alias("query"),
+            F.when(n % 7 == 0, None).when(n % 11 == 0, n.cast("string")).alias("words_"),
+            F.when((n % 7 != 0) & (n % 11 != 0), n).alias("words"),
+        )
+    )
+    arguments = F.regexp_replace(arguments, '"words_":', '"words":')
+    needed = F.when((n % 5 == 0) & (t % 8 < 6), t + 2).when(t % 8 >= 2, t - 2)
+    calls = turns.filter("role <> 'assistant'").select(
+        "conv_id",
+        t.cast("long").alias("seq"),
+        F.concat(F.lit("c"), t).alias("call_id"),
+        F.when(F.col("role") == "system", F.lit("configure")).when(n % 2 == 0, F.lit("search")).otherwise(F.lit("translate")).alias("name"),
+        arguments.alias("arguments"),
+        F.array_compact(F.array(F.concat(F.lit("c"), needed))).alias("needs"),
+    )
+    results = turns.filter("role = 'assistant'").select(
+        "conv_id", t.cast("long").alias("seq"), F.concat(F.lit("c"), t - 1).alias("call_id"), F.col("text").alias("content")
+    )
+    return calls, results
+
+
+@CATALOG.query()
+def op8_tool_calls(spark, sf_dir):
+    calls, results = calls_of(table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame(TOOLS, "name string, param string, kind string, required boolean")
+    return tool_calls.link(calls, results, schemas)

@@ -1,27 +1,66 @@
-"""From raw documents to clean, tokenizable ones: stages over the table of documents."""
+"""From raw documents to clean, encoded ones: stages over the table of documents.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.  All but the last return the
+columns of documents.  Rows with null or empty texts are clean: the classifier gives them the score of no
+words, each is a class of its own, and nothing in them repeats or hits.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chatterscope.llm import piece_bpe
-from chatterscope.llm.queries import tokenizer
+from chatterscope.llm import decontamination, near_duplicates, piece_bpe, sentence_spans, toxicity
+from chatterscope.llm.queries import table, tokenizer, toxicity_model
 from chatterscope.session import cut_lineage
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents whose score reaches the threshold of their language."""
+    scored = toxicity.rejected(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.filter(~F.col("rejected")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every class of near copies."""
+    return near_duplicates.keep_first(docs)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the sentences of passages that stand in an earlier place."""
+    cleaned = sentence_spans.dedup_spans(docs).select(docs.columns)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cleaned
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that hold a window of a benchmark item."""
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.filter("n_hit > 0").select(F.col("doc").alias("__doc")).distinct()
+    keyed = docs.withColumn("__doc", decontamination.doc_key())
+    return keyed.join(hit, "__doc", "left_anti").select(docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document and the text that they decode to."""
     return piece_bpe.encode_decode(docs, tokenizer("piece_bpe_32k.model"))
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("sentence_spans", drop_repeated_passages),
+    ("decontamination", drop_contaminated),
+    ("piece_bpe", encode),
+]
 #: No SQL: the stages train a classifier, draw weighted samples and merge by ranks.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = cut_lineage(stage(spark, docs, sf_dir))
     return docs
