@@ -14,8 +14,8 @@
    are compared with one of them (another one each round) as long as that joins classes; last, every
    pair of texts of one key that lie in different classes is compared.  So a group of thousands of near
    copies costs a comparison per text, not one per pair, and no link that would join two classes is
-   lost.  Pairs whose samples agree in less than half of the places, far from 0.8 of them, are left out
-   before texts are fetched.
+   lost.  Pairs whose samples agree in less than LEAST_AGREEMENT of the places, three standard errors below
+   0.8, are left out before texts are fetched.
 5. A pair is a link if its exact weighted Jaccard similarity is SIMILARITY or more.  Classes are the
    connected components, labelled in joins with pointer jumping; the class id is the smallest doc_id.
 
@@ -41,9 +41,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 14, 4
 SLOT_BITS = 20
-IDF_FLOOR = 0.5
-STARS = 4
-LEAST_AGREEMENT = 0.5
+IDF_FLOOR = 0.75
+STARS = 3
+LEAST_AGREEMENT = 0.64
+BLOCK = 128
 _SLOTS = 1 << SLOT_BITS
 _PART = 1 << 12  # slots in a row of the table of frequencies
 _DRAWS = 1 << 16
@@ -170,6 +171,15 @@ def signatures(docs: DataFrame, idf_of, bands: int = BANDS, rows: int = ROWS) ->
     )
 
 
+def _agreement(a: list, b: list) -> np.ndarray:
+    """The share of samples in which every row of a agrees with every row of b."""
+    x, y = (np.frombuffer(b"".join(part), np.uint16).reshape(len(part), -1) for part in (a, b))
+    same = np.zeros((len(x), len(y)), np.int32)
+    for k in range(x.shape[1]):
+        same += x[:, k, None] == y[None, :, k]
+    return same / x.shape[1]
+
+
 def agreeing(pairs: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
     """Pairs (a, b, sample_a, sample_b) that agree in at least such a share of their samples."""
 
@@ -185,6 +195,47 @@ def agreeing(pairs: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
     return pairs.select("a", "b", "sample_a", "sample_b").mapInArrow(compared, "a bigint, b bigint")
 
 
+def across(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
+    """Pairs (a, b) of members (band, hash, key, label, sample, bands) of one band and key that have
+    different labels and agree in enough samples; each pair in its first common band.
+
+    Members are dealt to blocks of about BLOCK, and each two blocks of a band and key are a row, compared
+    in place: what is sent on are the pairs that agree, not all of them.
+    """
+    sizes = members.groupBy("band", "hash").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    dealt = members.join(sizes, ["band", "hash"]).withColumn("block", F.pmod(F.xxhash64("key"), "n_blocks").cast("int"))
+    blocks = dealt.groupBy("band", "hash", "n_blocks", "block").agg(
+        F.collect_list(F.struct("key", "label", "sample", "bands")).alias("rows")
+    )
+    # each row goes to the pairs of its block with itself and with later and earlier ones
+    sides = blocks.select(
+        "band", "hash", "block", "rows", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
+    ).select("band", "hash", "rows", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    left = sides.filter("block = low").select("band", "hash", "low", "high", F.col("rows").alias("x"))
+    right = sides.filter("block = high").select("band", "hash", "low", "high", F.col("rows").alias("y"))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, y = batch.column("x")[k].values, batch.column("y")[k].values
+                band = batch.column("band")[k].as_py()
+                near = _agreement(x.field("sample").to_pylist(), y.field("sample").to_pylist()) >= least
+                i, j = np.nonzero(near)
+                keys = [side.field("key").to_numpy() for side in (x, y)]
+                labels = [side.field("label").to_numpy() for side in (x, y)]
+                hashes = [side.field("bands").flatten().to_numpy().reshape(len(side), -1) for side in (x, y)]
+                first = (hashes[0][i] == hashes[1][j]).argmax(axis=1) == band
+                take = first & (labels[0][i] != labels[1][j])
+                if batch.column("low")[k] == batch.column("high")[k]:  # both orders are there
+                    take &= keys[0][i] < keys[1][j]
+                i, j = i[take], j[take]
+                pair = np.sort(np.stack([keys[0][i], keys[1][j]]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+
+    joined = left.join(right, ["band", "hash", "low", "high"])
+    return joined.select("band", "low", "high", "x", "y").mapInArrow(compared, "a bigint, b bigint")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, idf_of, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) of texts (key, text) whose exact weighted Jaccard similarity is enough."""
 
@@ -272,11 +323,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         if turn < stars:
             pairs = own.join(groups, ["band", "hash"]).filter("label <> centre.label")
             pairs = pairs.select(F.least("key", "centre.key").alias("a"), F.greatest("key", "centre.key").alias("b"))
+            pairs = pairs.distinct()
         else:
-            open_ = cut_lineage(own.join(groups, ["band", "hash"]).select("band", "hash", "key", "label"))
-            other = open_.select("band", "hash", F.col("key").alias("b"), F.col("label").alias("other"))
-            pairs = open_.join(other, ["band", "hash"]).filter("key < b and label <> other").select(F.col("key").alias("a"), "b")
-        pairs = pairs.distinct()
+            open_ = own.join(groups, ["band", "hash"]).select("band", "hash", "key", "label")
+            pairs = across(open_.join(signed, "key"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs)
