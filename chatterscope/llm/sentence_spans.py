@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatterscope.llm import arrays
+from chatterscope.session import cut_lineage
 
 RUN = 3
 MIN_WORDS = 15
@@ -113,7 +114,8 @@ def dedup_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, lon
     """The documents without the sentences of repeated runs, with `n_sentences` and `n_removed`."""
     found = spans(docs, run, min_words, longest)
     place = F.struct("doc_id", "key", "a")
-    repeated = (
+    # written, so that both sides of the join are dealt anew and AQE can split a hot hash
+    repeated = cut_lineage(
         found.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     )
     later = found.join(repeated, "hash").filter(place > F.col("first"))
