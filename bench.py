@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from chatterscope.plans import registry
@@ -48,6 +49,8 @@ def main() -> None:
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
+            "spark.chatterscope.scanPartitions": cpus,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="chatterscope-bench-"),
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -47,7 +47,6 @@ FIRST_MONTH = "2007-10-01"
 END_MONTH = "2016-01-01"
 TOP_COMMUNITIES = 5
 SEARCH_HITS = 80
-TRACKED_TERMS = 400
 
 # Page titles and link targets with these name spaces are left out.
 PAGE_NAMESPACES = ("template:", "file:")

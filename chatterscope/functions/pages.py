@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 
 from chatterscope import constants as C
 
-# Where a page keeps its title and text.
-PAGE_SCHEMA = "title STRING, text STRING, revision STRUCT<text: STRING>"
+# Fixed value: a schema that takes only what tells a broken page.
+PAGE_SCHEMA = "_corrupt_record STRING"
 LINK = r"\[\[.*?\]\]"
 
 
 def parse_page_xml(xml: Column) -> Column:
-    """Struct (title in lower case, text); NULL fields where the XML is broken."""
-    page = F.from_xml(xml, F.lit(PAGE_SCHEMA))
-    return F.transform(
-        F.array(page),
-        lambda p: F.struct(
-            F.lower(p["title"]).alias("title"),
-            F.coalesce(p["revision"]["text"], p["text"]).alias("text"),
-        ),
-    ).getItem(0)
+    """Struct (title in lower case, text); NULL fields where the XML is broken or has none.
+
+    Title and text are what the first element with that word in its name begins with, at any depth.
+    """
+    valid = F.from_xml(xml, F.lit(PAGE_SCHEMA), {"mode": "PERMISSIVE"})["_corrupt_record"].isNull()
+
+    def first(word: str) -> Column:
+        found = F.xpath(xml, F.lit(f"(//*[contains(name(), '{word}')])[1]/text()[1]"))
+        return F.when(xml.isNotNull() & valid, F.get(found, F.lit(0)))
+
+    return F.struct(F.lower(first("title")).alias("title"), first("text").alias("text"))
 
 
 def page_id(title: Column) -> Column:

@@ -199,6 +199,12 @@ def is_counted(n: Column, ngram: Column) -> Column:
     return ngram.isNotNull() & ((n > 1) | (F.length(ngram) > 1))
 
 
-def contains_any(tokens: Column, terms: Sequence[str]) -> Column:
-    """Whether a token array holds any of a short list of terms."""
-    return F.exists(tokens, lambda t: t.isin(list(terms)))
+def contains_any(tokens: Column, terms: Sequence[Sequence[str]]) -> Column:
+    """Whether a token array holds all words of any of the terms."""
+    single = sorted({t[0] for t in terms if len(t) == 1})
+    several = [list(t) for t in terms if len(t) > 1]
+    found = F.arrays_overlap(tokens, F.lit(single)) if single else F.lit(False)
+    if several:
+        all_of = F.array(*map(F.lit, several))
+        found = found | F.exists(all_of, lambda t: F.size(F.array_except(t, tokens)) == 0)
+    return found

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatterscope.session import cut_lineage
+
 # Marks that are trained on and marks that are classified.
 TRAINED_MARKS = (".", "?", "!")
 SCORED_MARKS = (",", ".", "?", "!", '"', "(", ")", "[", "]", "{", "}")
@@ -73,6 +75,7 @@ def boundary_model_fit(labelled: DataFrame, label: str = "ends_line") -> DataFra
             F.count_if(~F.col(label)).alias("falses"),
         )
     )
+    counts = cut_lineage(counts)  # both its rows and its sizes are used
     # one row per feature
     sizes = counts.groupBy("feature").agg(
         F.count(F.lit(1)).alias("bins"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,20 +12,27 @@ from chatterscope.operators.graph import endpoints
 from chatterscope.session import cut_lineage
 
 
-def communities(edges: DataFrame, rounds: int = 5, also: Sequence[str] = ()) -> DataFrame:
+def communities(
+    edges: DataFrame, rounds: int = 5, also: Sequence[str] = (), settle: bool = True
+) -> DataFrame:
     """Weighted label propagation: also, node, community.
 
     All nodes start with their own name and take, in every round, the label with the largest
     weight among their neighbours and themselves (their own label counts with weight 1, which
     calms oscillation); ties go to the smaller label.  Every round's labels are written, which
-    keeps plans short.
+    keeps plans short.  They end when no label changes.
+
+    After ``rounds`` of them labels may still swing between neighbours.  ``settle`` goes on with
+    rounds in which a node only takes a smaller label, until none changes; as labels only
+    become smaller, that ends.  Without it a warning tells when labels still change.
     """
     arcs = edges.select(*also, "src", "dst", "weight").unionByName(
         edges.select(*also, F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     )
     arcs = cut_lineage(arcs)
     labels = endpoints(edges, also).distinct().withColumn("community", F.col("node"))
-    for _ in range(rounds):
+    done = 0
+    while done < rounds or settle:
         heard = arcs.join(labels.withColumnRenamed("node", "src"), [*also, "src"]).select(
             *also, F.col("dst").alias("node"), "community", "weight"
         )
@@ -35,8 +43,18 @@ def communities(edges: DataFrame, rounds: int = 5, also: Sequence[str] = ()) ->
             .agg(F.sum("weight").alias("votes"))
         )
         best = F.min(F.struct((-F.col("votes")).alias("rank"), "community"))
-        labels = votes.groupBy(*also, "node").agg(best.alias("best"))
-        labels = cut_lineage(labels.select(*also, "node", F.col("best.community")))
+        chosen = votes.groupBy(*also, "node").agg(best.alias("best"))
+        chosen = chosen.select(*also, "node", F.col("best.community"))
+        if done >= rounds:
+            before = labels.withColumnRenamed("community", "before")
+            smaller = F.least("community", "before").alias("community")
+            chosen = chosen.join(before, [*also, "node"]).select(*also, "node", smaller)
+        chosen = cut_lineage(chosen)
+        moved = chosen.join(labels, [*also, "node", "community"], "left_anti").limit(1).count()
+        labels, done = chosen, done + 1
+        if not moved:
+            return labels
+    warnings.warn(f"labels still change after {rounds} rounds", stacklevel=2)
     return labels
 
 

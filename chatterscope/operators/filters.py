@@ -44,13 +44,14 @@ def filter_system_accounts(
     )
 
 
-def filter_track_terms(
-    messages: DataFrame, terms: Sequence[str], lang: str = "en", most: int = C.TRACKED_TERMS
-) -> DataFrame:
-    """Messages with text in the language that hold any of the first ``most`` tracked words."""
-    wanted = [t.lower() for t in terms][:most]
+def filter_track_terms(messages: DataFrame, terms: Sequence[str], lang: str = "en") -> DataFrame:
+    """Messages with text in the language that hold any tracked term.
+
+    A term of several words is held by a message that has all of them, in any place.
+    """
+    wanted = [t.lower().split() for t in terms]
     return messages.where(
         F.col("text").isNotNull()
         & (F.col("lang") == lang)
-        & T.contains_any(T.tokenize(F.lower("text")), wanted)
+        & T.contains_any(T.tokenize(F.lower("text")), [w for w in wanted if w])
     )

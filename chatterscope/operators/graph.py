@@ -15,7 +15,6 @@ from chatterscope import constants as C
 from chatterscope.session import cut_lineage
 
 PAIR_BLOCK = 500
-ADJACENCY_PART = 10_000
 
 
 def _rank(name: Column) -> Column:
@@ -108,36 +107,32 @@ def undirected(edges: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     return oriented.groupBy(*also, "src", "dst").agg(F.max("weight").alias("weight"))
 
 
+def adjacency_rows(edges: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """also, node1, neighbour, weight: one row per edge, whatever a node's degree."""
+    return edges.select(
+        *also,
+        F.col("src").alias("node1"),
+        F.col("dst").alias("neighbour"),
+        F.col("weight").cast("int").alias("weight"),
+    )
+
+
 def adjacency_map(
-    edges: DataFrame, also: Sequence[str] = (), part_size: int = ADJACENCY_PART
+    rows: DataFrame, also: Sequence[str] = (), nodes: Sequence[str] | None = None
 ) -> DataFrame:
-    """also, node1, part, node2 (map of neighbour to weight).
+    """also, node1, node2 (map of neighbour to weight): one row per node, for the nodes asked for.
 
-    Nodes with more than ``part_size`` neighbours get several rows, so that no map is unbounded.
+    Without ``nodes`` every node's map is built; a map holds all neighbours of its node.
     """
-    key = [*also, "src"]
-    large = (
-        edges.groupBy(*key)
-        .agg(F.ceil(F.count(F.lit(1)) / part_size).cast("int").alias("parts"))
-        .where(F.col("parts") > 1)
-    )
-    dealt = edges.join(large, key, "left").withColumn(
-        "part",
-        F.coalesce(F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int"), F.lit(0)),
-    )
-    entries = F.array_sort(F.collect_list(F.struct("dst", F.col("weight").cast("int"))))
-    return (
-        dealt.groupBy(*key, "part")
-        .agg(F.map_from_entries(entries).alias("node2"))
-        .withColumnRenamed("src", "node1")
-    )
+    if nodes is not None:
+        rows = rows.where(F.col("node1").isin(list(nodes)))
+    entries = F.array_sort(F.collect_list(F.struct("neighbour", "weight")))
+    return rows.groupBy(*also, "node1").agg(F.map_from_entries(entries).alias("node2"))
 
 
-def adjacency_edges(adjacency: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+def adjacency_edges(rows: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Adjacency rows back to edges."""
-    return adjacency.select(
-        *also, F.col("node1").alias("src"), F.explode("node2").alias("dst", "weight")
-    )
+    return rows.select(*also, F.col("node1").alias("src"), F.col("neighbour").alias("dst"), "weight")
 
 
 def prune_edges_relative(

@@ -122,7 +122,7 @@ def prune_edges_min_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BOUGHT} SELECT year, src AS node1, dst AS neighbour, CAST(weight AS INTEGER) AS weight FROM year_kept")
 def adjacency_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    maps = G.adjacency_map(year_edges(spark, sf_dir), ["year"], part_size=5)
+    maps = G.adjacency_map(G.adjacency_rows(year_edges(spark, sf_dir), ["year"]), ["year"])
     return maps.select("year", "node1", F.explode("node2").alias("neighbour", "weight"))
 
 
@@ -219,7 +219,7 @@ ROUNDS = 3
 
 @query(f"{_labels_sql(ROUNDS)} SELECT node, community FROM l{ROUNDS}")
 def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.communities(edges(spark, sf_dir), ROUNDS)
+    return clustering.communities(edges(spark, sf_dir), ROUNDS, settle=False)
 
 
 @query(
@@ -233,7 +233,7 @@ FROM s LEFT JOIN i USING (community)"""
 )
 def modularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = edges(spark, sf_dir)
-    score = clustering.modularity(kept, clustering.communities(kept, ROUNDS))
+    score = clustering.modularity(kept, clustering.communities(kept, ROUNDS, settle=False))
     return score.withColumn("modularity", F.round("modularity", 9))
 
 

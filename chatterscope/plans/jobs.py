@@ -1,7 +1,9 @@
 """The batch jobs from comment files to result tables.
 
 Every job reads comment files (JSON lines under YYYY/RC_YYYY-MM keys) and replaces the batches or
-years that it computed, so a job can be run again, month by month or for all months at once.
+years that it computed, so a job can be run again, month by month or for all months at once.  A batch is
+the month of a file.  What a file holds of another month's days is added up on reading, and floors apply
+to the sums.
 """
 
 from __future__ import annotations
@@ -28,12 +30,13 @@ def _comments(spark: SparkSession, source: str, fields: str) -> DataFrame:
 
 
 def _listed(
-    spark: SparkSession, comments: DataFrame, white: str | None, black: str | None, first: int
+    spark: SparkSession, comments: DataFrame, white: str | None, black: str | None, first: int | None
 ) -> DataFrame:
     if black:
         comments = filters.filter_blacklist(comments, lists.scan_name_list(spark, black))
     if white:
-        names = lists.whitelist_top_k(lists.scan_name_list(spark, white), first)
+        names = lists.scan_name_list(spark, white)
+        names = names if first is None else lists.whitelist_top_k(names, first)
         comments = filters.filter_whitelist(comments, names)
     return comments
 
@@ -48,13 +51,16 @@ def monthly_phrases(
     out: str,
     white: str | None = None,
     black: str | None = None,
-    first: int = 2001,
+    first: int | None = None,
 ) -> None:
     """Corpus-wide phrase table, one batch per month of the files."""
     comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS), white, black, first)
     table = N.monthly_table(comments)
     tables.write_batches(
-        table.withColumn("batch", _month_number("month")), out, sort_by=["ngram"]
+        table.withColumn("batch", _month_number("month")),
+        out,
+        sort_by=["ngram"],
+        owned=CM.file_months(spark, source),
     )
 
 
@@ -64,12 +70,12 @@ def community_phrases(
     out: str,
     white: str | None = None,
     black: str | None = None,
-    first: int = 1001,
+    first: int | None = None,
     grain: str = "month",
 ) -> None:
-    """Phrase table per community (``out``/table) and its counters (``out``/counters).
+    """Phrase counts per community (``out``/table) and its counters (``out``/counters).
 
-    Both come from one pass over the text.  Counters have one batch per month of the files.
+    Both come from one pass over the text and have one batch per month of the files.
     """
     comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS), white, black, first)
     comments = comments.withColumns(
@@ -80,15 +86,13 @@ def community_phrases(
     )
     keys = ["batch", "bucket", "community"]
     counts = cut_lineage(N.count_phrases(N.phrases(comments, keys), keys))
-    per_bucket = counts.groupBy("bucket", "community", "n", "ngram").agg(
-        F.sum("cnt").alias("cnt"), F.max("batch").alias("batch")
-    )
-    tables.write_batches(N.community_table(per_bucket), f"{out}/table", sort_by=["ngram"])
+    owned = CM.file_months(spark, source)
+    tables.write_batches(counts, f"{out}/table", sort_by=["ngram"], owned=owned)
 
     rolled = counts.groupBy("batch", "community", "n", "ngram").agg(F.sum("cnt").alias("cnt"))
     deltas = N.join_totals(N.above_floor(rolled), N.totals(counts, ["batch"]), ["batch"])
     tables.write_batches(
-        deltas.withColumnRenamed("cnt", "wcount"), f"{out}/counters", sort_by=["ngram"]
+        deltas.withColumnRenamed("cnt", "wcount"), f"{out}/counters", sort_by=["ngram"], owned=owned
     )
 
 
@@ -96,6 +100,15 @@ def read_monthly_phrases(spark: SparkSession, path: str) -> DataFrame:
     return tables.upsert_last_wins(tables.read_batches(spark, path), ["ngram", "community", "month"])
 
 
+def _summed(batches: DataFrame) -> DataFrame:
+    return tables.merge_counters(batches, ["bucket", "community", "n", "ngram"], ["cnt"])
+
+
+def read_community_phrases(spark: SparkSession, path: str) -> DataFrame:
+    """The phrase table per bucket and community."""
+    return N.community_table(_summed(tables.read_batches(spark, f"{path}/table")))
+
+
 def read_community_counters(spark: SparkSession, path: str) -> DataFrame:
     batches = tables.read_batches(spark, f"{path}/counters")
     return tables.merge_counters(batches, ["community", "n", "ngram"], ["wcount", "total"])
@@ -104,21 +117,58 @@ def read_community_counters(spark: SparkSession, path: str) -> DataFrame:
 def daily_phrases(
     spark: SparkSession, source: str, out: str, white: str | None = None, black: str | None = None
 ) -> None:
-    """Day and community phrase table, divided by the totals over all days of the files read."""
-    comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS), white, black, 1 << 30)
-    comments = comments.withColumn("bucket", TM.bucket_time(F.col("created_utc"), "day"))
-    keys = ["bucket", "community"]
-    counts = N.count_phrases(N.phrases(comments, keys), keys)
-    table = N.relative_frequency(N.prune_adaptive(counts))
-    tables.write_batches(
-        table.withColumn("batch", _month_number("bucket")), out, sort_by=["ngram"]
+    """Phrase counts per day and community."""
+    comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS), white, black, None)
+    comments = comments.withColumns(
+        {
+            "bucket": TM.bucket_time(F.col("created_utc"), "day"),
+            "batch": _month_number("month"),
+        }
     )
+    keys = ["batch", "bucket", "community"]
+    counts = N.count_phrases(N.phrases(comments, keys), keys)
+    tables.write_batches(counts, out, sort_by=["ngram"], owned=CM.file_months(spark, source))
+
+
+def read_daily_phrases(spark: SparkSession, path: str) -> DataFrame:
+    """Day and community phrase table, divided by the totals over all days stored."""
+    counts = cut_lineage(_summed(tables.read_batches(spark, path)))
+    return N.relative_frequency(N.prune_adaptive(counts))
 
 
 def daily_statistics(spark: SparkSession, source: str, out: str) -> None:
-    """Daily rows in a table partitioned by year; the months read are replaced."""
-    stats = A.daily_rows(A.daily_stats(_comments(spark, source, ACTIVITY_FIELDS)))
-    tables.write_batches(stats.withColumn("batch", _month_number("date")), out, ["year"])
+    """What daily rows are counted from: the authors of each day, and its communities with their
+    comments, one batch per month of the files."""
+    comments = _comments(spark, source, ACTIVITY_FIELDS).select(
+        _month_number("month").alias("batch"),
+        TM.epoch_day(F.col("created_utc")).alias("date"),
+        F.inline(
+            F.array(
+                F.struct(F.lit("community").alias("kind"), F.col("community").alias("name")),
+                F.struct(F.lit("author").alias("kind"), F.col("author").alias("name")),
+            )
+        ),
+    )
+    rows = comments.groupBy("batch", "date", "kind", "name").agg(F.count(F.lit(1)).alias("comments"))
+    rows = rows.withColumn("year", F.year("date"))
+    tables.write_batches(rows, out, ["year"], owned=CM.file_months(spark, source))
+
+
+def read_daily_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """Daily rows: date, communities, comments, authors, year."""
+    rows = tables.read_batches(spark, path).groupBy("date", "kind", "name").agg(
+        F.sum("comments").alias("comments")
+    )
+
+    def of(kind: str, value):
+        return F.when(F.col("kind") == kind, value)
+
+    stats = rows.groupBy("date").agg(
+        F.count(of("community", F.col("name"))).alias("communities"),
+        F.sum(of("community", F.col("comments"))).alias("comments"),
+        F.count(of("author", F.col("name"))).alias("authors"),
+    )
+    return A.daily_rows(stats)
 
 
 def author_graph(
@@ -139,14 +189,19 @@ def author_graph(
     comments = _comments(spark, source, ACTIVITY_FIELDS).withColumn("year", F.year("month"))
     members = A.active_memberships(A.author_activity(comments, *also), comments_more_than)
     edges = cut_lineage(G.edge_weights(members, also, authors_more_than))
-    tables.write_partitioned(G.adjacency_map(edges, also), f"{out}/adjacency", also, ["node1"])
+    years = sorted({m // 100 for m in CM.file_months(spark, source)})
+
+    def write(rows: DataFrame, name: str, sort_by=()) -> None:
+        tables.write_partitioned(rows, f"{out}/{name}", also, sort_by)
+        tables.clear_partitions(rows, f"{out}/{name}", "year", years)
+
+    write(G.adjacency_rows(edges, also), "adjacency", ["node1"])
 
     published = cut_lineage(G.graph_by_year(edges, hub_degree, also))
     labels = clustering.communities(published, rounds, also)
-    tables.write_partitioned(published, f"{out}/edges", also, ["src"])
-    tables.write_partitioned(labels, f"{out}/nodes", also, ["node"])
-    scores = clustering.modularity(published, labels, also)
-    tables.write_partitioned(scores, f"{out}/modularity", also)
+    write(published, "edges", ["src"])
+    write(labels, "nodes", ["node"])
+    write(cut_lineage(clustering.modularity(published, labels, also)), "modularity")
 
 
 def graph_file(spark: SparkSession, graph: str, out: str, year: int = 2015) -> None:

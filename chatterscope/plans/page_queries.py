@@ -31,7 +31,7 @@ FROM pages),
 msgs AS (SELECT page_id, '<page><title>' || replace(replace(replace(name, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
   || '</title><revision><text>' || replace(replace(replace(body, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
   || '</text></revision></page>' AS value FROM raw),
-parsed AS (SELECT page_id, lower(trim(name)) AS title, trim(body) AS text FROM raw),
+parsed AS (SELECT page_id, lower(name) AS title, nullif(body, '') AS text FROM raw),
 found AS (SELECT page_id, title, text, [lower(split_part(ltrim(rtrim(x, ']'), '['), '|', 1))
   FOR x IN regexp_extract_all(text, '\[\[.*?\]\]')] AS all_links FROM parsed),
 linked AS (SELECT page_id, title, text, [x FOR x IN all_links IF NOT (contains(x, ':')
@@ -150,7 +150,7 @@ own AS (SELECT DISTINCT id, title FROM articles)"""
 def stream_backlinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = SP.parse_filter(page_stream(spark, sf_dir))
     path = _drain(spark, lambda *a: SP.write_backlinks(pages, *a), "backlinks")
-    table = SP.backlinks(spark, path)
+    table = tables.collect_backlinks(SP.backlinks(spark, path))
     return table.select("title", "id", F.array_join("referredby", "|").alias("referredby"))
 
 
@@ -188,8 +188,10 @@ def upsert_set_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.write_batches(pages.select("batch", "title", "id", linksto), f"{path}/pages")
     links = pages.select("batch", F.explode_outer("links").alias("target"), "title")
     tables.write_batches(links.where(F.col("target").isNotNull()), f"{path}/links")
-    table = tables.upsert_set_union(
-        tables.read_batches(spark, f"{path}/pages"), tables.read_batches(spark, f"{path}/links")
+    table = tables.collect_backlinks(
+        tables.upsert_set_union(
+            tables.read_batches(spark, f"{path}/pages"), tables.read_batches(spark, f"{path}/links")
+        )
     )
     return table.select(
         "title",

@@ -29,12 +29,12 @@ def _batch_table(spark: SparkSession, df: DataFrame, name: str, partition_by=())
 @query(
     f"""WITH {X.TOKENS},
 b AS (SELECT CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3 END AS batch,
-             p.month, ngram, n, count(*) AS cnt
-      FROM phrases p JOIN comments c USING (id) WHERE n = 1 GROUP BY ALL)
-SELECT ngram, month, n, max_by(cnt, batch) AS cnt FROM b GROUP BY ALL"""
+             p.month, p.community, ngram, n, count(*) AS cnt
+      FROM phrases p JOIN comments c USING (id) GROUP BY ALL)
+SELECT ngram, community, month, n, max_by(cnt, batch) AS cnt FROM b GROUP BY ALL"""
 )
 def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Single-word counts arrive per language; for a word and month the last language counts."""
+    """Phrase counts arrive per language; for a phrase, community and month the last language counts."""
     comments = X.comments(spark, sf_dir).withColumn(
         "batch",
         F.when(F.col("lang") == "de", 0)
@@ -42,9 +42,10 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("lang") == "es", 2)
         .otherwise(3),
     )
-    counts = N.count_phrases(N.phrases(comments, ["batch", "month"], [1]), ["batch", "month"])
+    keys = ["batch", "month", "community"]
+    counts = N.count_phrases(N.phrases(comments, keys), keys)
     rows = _batch_table(spark, counts, "ngram-table")
-    return tables.upsert_last_wins(rows, ["ngram", "month"])
+    return tables.upsert_last_wins(rows, ["ngram", "community", "month"])
 
 
 @query(
@@ -70,7 +71,8 @@ def merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacency rows written by year, read back and laid out as edges."""
     path = fresh_path(spark, "adjacency")
-    tables.write_partitioned(G.adjacency_map(year_edges(spark, sf_dir), ["year"]), path, ["year"])
+    rows = G.adjacency_rows(year_edges(spark, sf_dir), ["year"])
+    tables.write_partitioned(rows, path, ["year"], ["node1"])
     edges = G.adjacency_edges(spark.read.parquet(path), ["year"])
     return edges.select("year", F.col("src").alias("node1"), F.col("dst").alias("neighbour"), "weight")
 

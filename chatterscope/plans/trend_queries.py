@@ -68,7 +68,8 @@ def spine_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM k CROSS JOIN spine LEFT JOIN monthly m ON m.ngram = k.ngram AND m.month = spine.month"
 )
 def ngram_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    series = TR.ngram_timeseries(N.monthly_table(X.comments(spark, sf_dir)), TERMS)
+    table = cut_lineage(N.monthly_table(X.comments(spark, sf_dir)))
+    series = TR.ngram_timeseries(table, TERMS)
     return series.withColumn("percentage", F.round("percentage", 12))
 
 
@@ -78,7 +79,9 @@ def ngram_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT * FROM r WHERE rank <= 5"
 )
 def top_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TR.top_communities(N.community_counters(community_counts(spark, sf_dir)))
+    # written, so that the filter below does not make two plans of one count
+    counts = cut_lineage(community_counts(spark, sf_dir))
+    return TR.top_communities(N.community_counters(counts))
 
 
 @query(

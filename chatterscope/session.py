@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
+SCAN_PARTITIONS = "spark.chatterscope.scanPartitions"
 
 
 def get_spark(app: str = "chatterscope", master: str | None = None, **conf: object) -> SparkSession:
@@ -28,19 +27,10 @@ def get_spark(app: str = "chatterscope", master: str | None = None, **conf: obje
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; all executors must reach it.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
-    global _local_folder
+    """The folder that spark.checkpoint.dir names, else one below the warehouse; all executors must
+    reach it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
-        if _local_folder is None:
-            _local_folder = tempfile.mkdtemp(prefix="chatterscope-")
-        folder = _local_folder
-    return folder
+    return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "intermediate")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -61,10 +51,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core.
+    """Deal a scan to as many partitions as ``spark.chatterscope.scanPartitions`` says, if it is set.
 
-    For plain scans only.  A large corpus has more splits than cores and is left alone, so no
-    shuffle of raw text is added there.
+    For small files of one row group, which one task would read; the benchmark sets it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df

@@ -30,8 +30,11 @@ def scan_json_lines(
 
 
 def scan_comments_typed(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The fixed comment schema, every field optional; also the view ``comments``."""
-    comments = spark.read.schema(COMMENT_SCHEMA).json(path)
+    """The fixed comment schema, every field optional; also the view ``comments``.
+
+    A broken line stops the job.
+    """
+    comments = scan_json_lines(spark, path, COMMENT_SCHEMA)
     comments.createOrReplaceTempView("comments")
     return comments
 
@@ -59,12 +62,23 @@ def path_month(keys: DataFrame, key: str = "key") -> DataFrame:
 
 
 def scan_month_files(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All comments below ``root`` with the month of the file they come from."""
-    files = spark.read.schema(schema).option("recursiveFileLookup", "true").json(root)
+    """All comments below ``root`` with the month of the file they come from; a broken line stops the
+    job."""
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    files = reader.option("recursiveFileLookup", "true").json(root)
     path = F.col("_metadata.file_path")
     return files.where(path.rlike(MONTH_PATH)).withColumn("month", _month(path, MONTH_PATH))
 
 
+def file_months(spark: SparkSession, root: str) -> list[int]:
+    """Months, as YYYYMM, of all files below ``root``, with or without comments."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    path = F.col("path")
+    month = _month(path, MONTH_PATH)
+    months = files.where(path.rlike(MONTH_PATH)).select((F.year(month) * 100 + F.month(month)).alias("m"))
+    return sorted(r.m for r in months.distinct().collect())
+
+
 def select_period(comments: DataFrame, year: int, month: int | None = None) -> DataFrame:
     """A whole year or one month; prunes partitions of a table partitioned by year and month."""
     chosen = comments.where(F.col("year") == year)

@@ -8,11 +8,14 @@ ledger and no locks.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatterscope.session import cut_lineage
+
 
 def write_partitioned(
     df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
@@ -33,22 +36,53 @@ def write_partitioned(
     )
 
 
+def clear_partitions(df: DataFrame, path: str, column: str, owned: Sequence[object]) -> None:
+    """Drop those of the partitions ``column=value`` of a table that the rows of a run, now written,
+    left out, for values that the run owns.  What is read is then what the run computed."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = [v for v in owned if files.exists(jvm.org.apache.hadoop.fs.Path(folder, f"{column}={v}"))]
+    if there:
+        full = {r[0] for r in df.select(column).where(F.col(column).isin(there)).distinct().collect()}
+        for value in set(there) - full:
+            files.delete(jvm.org.apache.hadoop.fs.Path(folder, f"{column}={value}"), True)
+
+
 def write_batches(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    owned: Sequence[int] = (),
 ) -> None:
-    """Write the rows of all batches in ``df`` (column batch), replacing those batches."""
+    """Write the rows of all batches in ``df`` (column batch), replacing those batches.
+
+    Batches that the run ``owned`` and has no rows for are emptied.
+    """
+    if owned:
+        df = cut_lineage(df)
     write_partitioned(df, path, ["batch", *partition_by], sort_by)
+    if owned:
+        clear_partitions(df, path, "batch", owned)
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """All batches; with a schema a table that has no rows yet reads as empty."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def upsert_last_wins(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The row of the latest batch per key; equal batches are settled by the row's values."""
+def upsert_last_wins(
+    batches: DataFrame, keys: Sequence[str], sequence: Sequence[str] = ("batch",)
+) -> DataFrame:
+    """The last row per key in the order of ``sequence``; ties are settled by those values of the row
+    that can be compared."""
     values = [c for c in batches.columns if c not in (*keys, "batch")]
-    row = F.struct("batch", *values)
-    return batches.groupBy(*keys).agg(F.max(row).alias("row")).select(*keys, "row.*").drop("batch")
+    kinds = {f.name: f.dataType.simpleString() for f in batches.schema.fields}
+    compared = [c for c in values if c not in sequence and not re.search(r"map<|variant", kinds[c])]
+    row = F.max_by(F.struct(*values), F.struct(*sequence, *compared))
+    return batches.groupBy(*keys).agg(row.alias("row")).select(*keys, "row.*")
 
 
 def merge_counters(batches: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -56,39 +90,37 @@ def merge_counters(batches: DataFrame, keys: Sequence[str], sums: Sequence[str])
     return batches.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def upsert_set_union(pages: DataFrame, links: DataFrame, part_size: int = 100_000) -> DataFrame:
-    """Page table with backlinks: title, part, id, linksto, referredby.
+def upsert_set_union(pages: DataFrame, links: DataFrame) -> DataFrame:
+    """Page table with backlinks: title, id, linksto, source - a row for every backlink, whatever their
+    number, and one with source NULL for a page without.
 
     ``pages``: batch, title, id, linksto - the last batch wins.  ``links``: target, title - the
-    union of all batches.  A target without page of its own gets a row with id and linksto NULL.
-    A title that most pages link to would make one endless array, so its backlinks are dealt to
-    parts of about ``part_size``; part 0 carries the page.
+    union of all batches.  A target without page of its own has id and linksto NULL.
     """
     current = upsert_last_wins(pages, ["title"])
     referred = links.select(F.col("target").alias("title"), F.col("title").alias("source"))
-    referred = referred.distinct()
-    sizes = referred.groupBy("title").agg(F.count(F.lit(1)).alias("backlinks"))
-    large = sizes.where(F.col("backlinks") > part_size)
-    dealt = referred.join(large, "title", "left").select(
-        "title",
-        F.coalesce(
-            F.pmod(
-                F.xxhash64("source"), F.ceil(F.col("backlinks") / part_size).cast("bigint")
-            ).cast("int"),
-            F.lit(0),
-        ).alias("part"),
-        "source",
-    )
-    sets = dealt.groupBy("title", "part").agg(
-        F.array_sort(F.collect_list("source")).alias("referredby")
+    return current.join(referred.distinct(), "title", "full_outer").select(
+        "title", "id", "linksto", "source"
     )
-    return (
-        current.withColumn("part", F.lit(0))
-        .join(sets, ["title", "part"], "full_outer")
-        .select("title", "part", "id", "linksto", "referredby")
+
+
+def collect_backlinks(table: DataFrame, titles: Sequence[str] | None = None) -> DataFrame:
+    """title, id, linksto, referredby: one row per title, for the titles asked for.
+
+    Without ``titles`` every title's set is built; a set holds all backlinks of its title.
+    """
+    if titles is not None:
+        table = table.where(F.col("title").isin(list(titles)))
+    # equal in all rows of a title
+    page = [F.any_value(c, F.lit(True)).alias(c) for c in ("id", "linksto")]
+    sources = F.collect_list("source")
+    return table.groupBy("title").agg(
+        *page, F.when(F.size(sources) > 0, F.array_sort(sources)).alias("referredby")
     )
 
 
-def compact(batches: DataFrame, path: str, upto: int, partition_by: Sequence[str] = ()) -> None:
+def compact(
+    batches: DataFrame, path: str, upto: int, partition_by: Sequence[str] = ()
+) -> None:
     """Write the merged rows of all batches up to ``upto`` as the first batch of a new table."""
     write_batches(batches.withColumn("batch", F.lit(upto)), path, partition_by)

@@ -40,6 +40,10 @@ def parse_filter(messages: DataFrame) -> DataFrame:
     )
 
 
+PAGE_ROWS = "title STRING, id STRING, linksto ARRAY<STRING>, batch BIGINT"
+LINK_ROWS = "target STRING, title STRING, batch BIGINT"
+
+
 def page_rows(pages: DataFrame) -> DataFrame:
     return pages.select("title", "id", F.array_sort(F.array_distinct("links")).alias("linksto"))
 
@@ -75,9 +79,10 @@ def write_backlinks(
 
 
 def backlinks(spark: SparkSession, path: str) -> DataFrame:
-    """The backlink table as it stands."""
+    """The backlink table as it stands, a row for every backlink."""
     return tables.upsert_set_union(
-        tables.read_batches(spark, f"{path}/pages"), tables.read_batches(spark, f"{path}/links")
+        tables.read_batches(spark, f"{path}/pages", PAGE_ROWS),
+        tables.read_batches(spark, f"{path}/links", LINK_ROWS),
     )
 
 

@@ -1,12 +1,12 @@
 """Jobs end to end on comment files, run twice."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from chatterscope.__main__ import parser
 from chatterscope.operators import trends as TR
 from chatterscope.plans import jobs
 from chatterscope.session import fresh_path
-from chatterscope.sources import tables
 
 
 def corpus(spark):
@@ -47,13 +47,55 @@ def test_daily_jobs(spark):
     for _ in range(2):
         jobs.daily_phrases(spark, source, phrases)
         jobs.daily_statistics(spark, source, stats)
-    days = tables.upsert_last_wins(tables.read_batches(spark, stats), ["year", "date"])
+    days = jobs.read_daily_statistics(spark, stats)
     assert days.agg(F.sum("comments")).first()[0] == 2400
     first = days.orderBy("date").first()
     assert (first.year, first.comments, first.authors, first.communities) == (2014, 144, 10, 2)
-    assert tables.read_batches(spark, phrases).where("ngram = 'green tea'").agg(F.sum("cnt")).first()[0] == 2400
+    table = jobs.read_daily_phrases(spark, phrases)
+    assert table.where("ngram = 'green tea'").agg(F.sum("cnt")).first()[0] == 2400
 
 
+def straddling(spark):
+    """A January file with days of January, a February file with one comment of 31 January."""
+    root = fresh_path(spark, "corpus")
+    for month, start, n in (("2015-01", 1422576000, 150), ("2015-02", 1422748799, 1)):
+        rows = spark.range(0, n).select(
+            F.concat(F.lit("u"), F.col("id") % 10).alias("author"),
+            F.lit("green tea leaves").alias("body"),
+            (F.lit(start) + F.col("id") * 60).cast("string").alias("created_utc"),
+            F.lit("Tea").alias("subreddit"),
+        )
+        rows.write.json(f"{root}/{month[:4]}/RC_{month}")
+    return root
+
+
+def test_files_that_share_days(spark):
+    source = straddling(spark)
+    month = lambda m: f"{source}/2015/RC_2015-{m}"
+    states = []
+    for runs in ([source], [month("01"), month("02"), month("02")], [month("02"), month("01")]):
+        daily, stats, weekly = (fresh_path(spark, n) for n in ("d", "s", "w"))
+        for path in runs:
+            jobs.daily_phrases(spark, path, daily)
+            jobs.daily_statistics(spark, path, stats)
+            jobs.community_phrases(spark, path, weekly, grain="week")
+        states.append(
+            [
+                sorted(map(tuple, jobs.read_daily_statistics(spark, stats).collect())),
+                sorted(map(tuple, jobs.read_daily_phrases(spark, daily).collect())),
+                sorted(map(tuple, jobs.read_community_phrases(spark, weekly).collect())),
+            ]
+        )
+    assert states[0] == states[1] == states[2]
+    assert sum(r[2] for r in states[0][0]) == 151
+
+
+def test_a_broken_line_stops_a_job(spark):
+    root = fresh_path(spark, "corpus")
+    spark.createDataFrame([("{broken",)], "v string").write.text(f"{root}/2015/RC_2015-01")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        jobs.daily_statistics(spark, root, fresh_path(spark, "s"))
+
 def test_graph_job(spark):
     source, out = corpus(spark), fresh_path(spark, "g")
     for _ in range(2):

@@ -33,7 +33,14 @@ def test_no_python_workers_and_no_cross_joins(spark, sf_dir, name):
 
 def test_text_is_tokenized_once_for_totals_and_counts(spark, sf_dir):
     table = N.monthly_table(X.comments(spark, sf_dir))
-    assert "ReusedExchange" in final_part(plan_of(table, run=True))
+    plan = final_part(plan_of(table, run=True))
+    assert "ReusedExchange" in plan and plan.count("FileScan parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["top_communities", "ngram_timeseries", "compare_ngrams"])
+def test_stored_counts_spare_a_second_scan_of_the_texts(spark, sf_dir, name):
+    plan = final_part(plan_of(registry.queries()[name](spark, sf_dir), run=True))
+    assert "documents.parquet" not in plan
 
 
 def test_counts_are_combined_before_the_shuffle(spark, sf_dir):

@@ -35,7 +35,7 @@ def write(spark, path, values):
 
 
 def backlink_state(spark, path):
-    rows = SP.backlinks(spark, path).collect()
+    rows = tables.collect_backlinks(SP.backlinks(spark, path)).collect()
     return {r.title: (r.id is not None, r.linksto, r.referredby) for r in rows}
 
 
@@ -64,6 +64,14 @@ def test_a_replayed_batch_changes_nothing(spark):
     assert len(backlink_state(spark, path)) == 3
 
 
+def test_backlinks_without_any_link(spark):
+    topic, path, progress = (fresh_path(spark, n) for n in ("topic", "links", "progress"))
+    write(spark, topic, ["<page><title>Lone</title><text>no link</text></page>"])
+    pages = SP.parse_filter(SP.stream_pages(spark, "text", topic))
+    SP.write_backlinks(pages, path, progress, DRAIN).awaitTermination()
+    assert backlink_state(spark, path) == {"lone": (True, [], None)}
+
+
 def test_index_keeps_the_last_text(spark):
     topic, path, progress = (fresh_path(spark, n) for n in ("topic", "index", "progress"))
     for values in (FIRST, SECOND):
@@ -83,12 +91,14 @@ def test_tracked_words_stream(spark):
     assert [r.id_str for r in spark.read.schema("id_str string").parquet(path).collect()] == ["1"]
 
 
-def test_only_the_first_tracked_words_count(spark):
+def test_all_tracked_terms_count(spark):
     from chatterscope.operators.filters import filter_track_terms
 
-    df = spark.createDataFrame([("w401", "en"), ("w399", "en")], "text string, lang string")
-    got = filter_track_terms(df, [f"w{i}" for i in range(500)]).collect()
-    assert [r.text for r in got] == ["w399"]
+    texts = ["w451", "w399", "w501", "to York, the new one", "york"]
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    got = filter_track_terms(df, [f"w{i}" for i in range(500)] + ["New York", " "]).collect()
+    assert [r.text for r in got] == ["w451", "w399", "to York, the new one"]
+    assert filter_track_terms(df, []).count() == 0
 
 
 def test_page_xml_variants(spark):
@@ -97,6 +107,9 @@ def test_page_xml_variants(spark):
         ("<page><title>C</title><text>D</text></page>",),
         ("<page><title>E</title></page>",),
         ("no xml",),
+        (None,),
+        ("<mediawiki><page><id>7</id><title>F</title><revision><text>  x <b>y</b></text></revision></page></mediawiki>",),
+        ("<page><title>G</title><body><text>\n z &lt;p&gt; </text></body></page>",),
     ]
     df = spark.createDataFrame(rows, "v string").select(P.parse_page_xml(F.col("v")).alias("p"))
     assert [(r.p.title, r.p.text) for r in df.collect()] == [
@@ -104,6 +117,9 @@ def test_page_xml_variants(spark):
         ("c", "D"),
         ("e", None),
         (None, None),
+        (None, None),
+        ("f", "  x "),
+        ("g", "\n z <p> "),
     ]
 
 

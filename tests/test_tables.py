@@ -1,7 +1,5 @@
 """Batch tables: repeated batches change nothing."""
 
-import pytest
-
 from chatterscope.session import fresh_path
 from chatterscope.sources import tables
 
@@ -30,8 +28,26 @@ def test_compaction_keeps_the_state(spark):
     assert {r.k: r.v for r in state.collect()} == {"a": 5, "b": 7}
 
 
-@pytest.mark.parametrize("part_size", [3, 1000])
-def test_set_union(spark, part_size):
+def test_ties_and_maps(spark):
+    rows = spark.createDataFrame(
+        [(1, 7, "a", {"x": 1}), (1, 9, "a", {"x": 2}), (0, 99, "a", {"x": 3})],
+        "batch int, seq int, k string, m map<string,int>",
+    )
+    last = tables.upsert_last_wins(rows, ["k"], ["batch", "seq"]).collect()
+    assert [(r.seq, r.m) for r in last] == [(9, {"x": 2})]
+
+
+def test_owned_batches_without_rows_are_emptied(spark):
+    path = fresh_path(spark, "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "batch int, k string")
+    tables.write_batches(rows, path, owned=[1, 2, 3])
+    tables.write_batches(rows.where("batch = 2"), path, owned=[1, 2])
+    assert {r.k for r in tables.read_batches(spark, path).collect()} == {"b", "c"}
+    tables.write_batches(rows.limit(0), path, owned=[2, 3])
+    assert tables.read_batches(spark, path, "k string, batch int").count() == 0
+
+
+def test_set_union(spark):
     pages = spark.createDataFrame(
         [(0, "a", "1", ["x"]), (1, "a", "1", ["hot"]), (0, "b", "2", [])],
         "batch int, title string, id string, linksto array<string>",
@@ -40,12 +56,13 @@ def test_set_union(spark, part_size):
         [(0, "x", "a"), (1, "hot", "a")] + [(b, "hot", f"p{i}") for b in (0, 1) for i in range(20)],
         "batch int, target string, title string",
     )
-    table = tables.upsert_set_union(pages, links, part_size).collect()
-    refs, rows = {}, {}
-    for r in table:
-        refs.setdefault(r.title, []).extend(r.referredby or [])
-        rows.setdefault(r.title, []).append((r.part, r.id, r.linksto))
-    assert sorted(refs["hot"]) == sorted(["a"] + [f"p{i}" for i in range(20)])
-    assert (len(rows["hot"]) > 1) == (part_size == 3)
-    assert rows["a"] == [(0, "1", ["hot"])] and refs["a"] == []
-    assert refs["x"] == ["a"] and rows["x"] == [(0, None, None)]
+    table = tables.upsert_set_union(pages, links)
+    assert table.where("title = 'hot'").count() == 21
+    rows = {r.title: (r.id, r.linksto, r.referredby) for r in tables.collect_backlinks(table).collect()}
+    assert rows == {
+        "hot": (None, None, sorted(["a"] + [f"p{i}" for i in range(20)])),
+        "a": ("1", ["hot"], None),
+        "b": ("2", [], None),
+        "x": (None, None, ["a"]),
+    }
+    assert [r.title for r in tables.collect_backlinks(table, ["x"]).collect()] == ["x"]
