@@ -15,6 +15,8 @@ JOBS = {
     "daily-statistics": jobs.daily_statistics,
     "author-graph": jobs.author_graph,
     "graph-file": jobs.graph_file,
+    "search-index": jobs.search_index,
+    "page-backlinks": jobs.page_backlinks,
 }
 
 
@@ -25,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
         command = commands.add_parser(name, help=inspect.getdoc(job).splitlines()[0])
         for key, param in list(inspect.signature(job).parameters.items())[1:]:
             required = param.default is inspect.Parameter.empty
-            kind = int if isinstance(param.default, int) else str
+            kind = int if "int" in str(param.annotation) else str
             command.add_argument(
                 "--" + key.replace("_", "-"),
                 type=kind,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,14 @@ def follower_counts(edges: DataFrame) -> DataFrame:
 def k_hop_followers(
     edges: DataFrame,
     seed: int,
-    hops: int,
+    hops: int | None,
     counts: DataFrame | None = None,
     limits: tuple[int, int] = (C.INFLUENCE_FIRST, C.INFLUENCE_DEEPER),
 ) -> DataFrame:
     """Accounts reached from a seed against the direction of following: account, hop.
 
+    Without a number of ``hops`` the walk ends when it reaches no new account.
+
     With ``counts`` (account, followers_count) the walk goes on only through influential
     accounts: those with at least limits[0] followers at the first hop, limits[1] deeper, and only
     these are returned.
@@ -31,7 +35,7 @@ def k_hop_followers(
     spark = edges.sparkSession
     visited = spark.createDataFrame([(seed, 0)], "account bigint, hop int")
     frontier = visited
-    for hop in range(1, hops + 1):
+    for hop in itertools.count(1) if hops is None else range(1, hops + 1):
         reached = (
             edges.join(frontier.select(F.col("account").alias("parent")), "parent")
             .select(F.col("follower").alias("account"))
@@ -45,6 +49,8 @@ def k_hop_followers(
             )
         frontier = cut_lineage(reached.withColumn("hop", F.lit(hop)))
         visited = visited.unionByName(frontier)
+        if hops is None and not frontier.limit(1).count():
+            return visited
     return visited
 
 

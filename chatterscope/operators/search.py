@@ -46,6 +46,18 @@ def corpus_stats(documents: DataFrame, text: str = "text", id: str = "id") -> Da
     )
 
 
+def index_stats(index: DataFrame, documents: DataFrame) -> DataFrame:
+    """The same row from an index of the documents, without reading their texts again."""
+    words = index.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))
+    total = documents.agg(F.count(F.lit(1)).alias("documents"))
+    return total.select("documents", (words.select("words").scalar() / F.col("documents")).alias("avg_length"))
+
+
+def with_titles(hits: DataFrame, titles: DataFrame) -> DataFrame:
+    """Hits (id, score) with the title of (id, title); as few rows as there are hits."""
+    return titles.select("id", "title").join(F.broadcast(hits), "id", "right")
+
+
 def query_terms(query: str | Sequence[str]) -> list[str]:
     text = query if isinstance(query, str) else " ".join(query)
     return list(dict.fromkeys(re.findall(r"\w+", text.lower())))

@@ -17,9 +17,11 @@ from chatterscope.operators import activity as A
 from chatterscope.operators import clustering, filters
 from chatterscope.operators import graph as G
 from chatterscope.operators import ngrams as N
+from chatterscope.operators import search as S
 from chatterscope.session import cut_lineage
 from chatterscope.sources import comments as CM
 from chatterscope.sources import gexf, lists, tables
+from chatterscope.streaming import pages as SP
 
 PHRASE_FIELDS = "body STRING, created_utc STRING, subreddit STRING"
 ACTIVITY_FIELDS = "author STRING, created_utc STRING, subreddit STRING"
@@ -208,3 +210,28 @@ def graph_file(spark: SparkSession, graph: str, out: str, year: int = 2015) -> N
     """One year's published graph as XML files."""
     edges = spark.read.parquet(f"{graph}/edges").where(F.col("year") == year)
     gexf.write_gexf(edges.select("src", "dst", "weight"), out)
+
+
+def search_index(spark: SparkSession, source: str, out: str) -> None:
+    """Postings (``out``/postings), titles and the corpus numbers of documents (id, title, text)."""
+    documents = spark.read.parquet(source)
+    S.write_postings(S.postings(documents), f"{out}/postings")
+    index = spark.read.parquet(f"{out}/postings")
+    documents.select("id", "title").write.parquet(f"{out}/titles")
+    S.index_stats(index, documents.select("id")).write.parquet(f"{out}/stats")
+
+
+def search(spark: SparkSession, index: str, query: str, k: int = C.SEARCH_HITS) -> DataFrame:
+    """The k best documents of a stored index: id, title, score."""
+    postings, stats = (spark.read.parquet(f"{index}/{n}") for n in ("postings", "stats"))
+    hits = S.text_match(postings, stats, query, k)
+    return S.with_titles(hits, spark.read.parquet(f"{index}/titles")).orderBy(F.col("score").desc(), "id")
+
+
+def page_backlinks(spark: SparkSession, source: str, out: str) -> None:
+    """Pages (one XML text per line of the files) that came since the last run, to the backlink and
+    search tables below ``out``."""
+    pages = SP.parse_filter(SP.stream_pages(spark, "text", source))
+    once = {"availableNow": True}
+    SP.write_backlinks(pages, f"{out}/backlinks", f"{out}/progress/backlinks", once).awaitTermination()
+    SP.write_index(pages, f"{out}/index", f"{out}/progress/index", once).awaitTermination()

@@ -9,7 +9,7 @@ from chatterscope.operators import boundary as BD
 from chatterscope.operators import search as S
 from chatterscope.plans import fixtures as X
 from chatterscope.plans.catalog import Catalog
-from chatterscope.session import cut_lineage, spread
+from chatterscope.session import cut_lineage, fresh_path, spread
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -34,8 +34,12 @@ SELECT id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf::DOUBLE * 2.2::DOU
 FROM h JOIN d USING (term), st GROUP BY id ORDER BY score DESC, id LIMIT 80"""
 )
 def text_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts are read once, for a stored index; the search reads only that."""
     docs = documents(spark, sf_dir)
-    return S.text_match(S.postings(docs), S.corpus_stats(docs), ASKED)
+    path = fresh_path(spark, "postings")
+    S.write_postings(S.postings(docs), path)
+    index = spark.read.parquet(path)
+    return S.text_match(index, S.index_stats(index, docs.select("id")), ASKED)
 
 
 @query("SELECT doc_id AS id, text FROM documents ORDER BY doc_id LIMIT 80")

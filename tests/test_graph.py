@@ -130,3 +130,20 @@ def test_daily_stats(spark):
     series = A.export_series_json(A.stats_series(A.daily_stats(df)))
     docs = {r.metric: r.document for r in series.collect()}
     assert docs["comments"] == "[[0,2],[86400000,2]]"
+
+
+def test_a_walk_without_a_number_of_hops_ends(spark):
+    from chatterscope.operators.followers import k_hop_followers
+
+    rows = [(k, k + 1) for k in range(5)] + [(5, 0), (9, 8)]
+    edges = spark.createDataFrame(rows, "parent bigint, follower bigint")
+    reached = {r.account: r.hop for r in k_hop_followers(edges, 0, None).collect()}
+    assert reached == {k: k for k in range(6)}
+
+
+def test_classes_settle(spark):
+    from chatterscope.operators.clustering import communities
+
+    pair = edge_frame(spark, [("a", "b", 10), ("c", "d", 3), ("d", "e", 3)])
+    found = {r.node: r.community for r in communities(pair, 2).collect()}
+    assert found["a"] == found["b"] == "a" and len({found[n] for n in "cde"}) == 1

@@ -7,6 +7,8 @@ from chatterscope.__main__ import parser
 from chatterscope.operators import trends as TR
 from chatterscope.plans import jobs
 from chatterscope.session import fresh_path
+from chatterscope.sources import tables
+from chatterscope.streaming import pages as SP
 
 
 def corpus(spark):
@@ -110,6 +112,26 @@ def test_graph_job(spark):
     jobs.graph_file(spark, out, fresh_path(spark, "x"), 2015)
 
 
+def test_search_job(spark):
+    docs, out = fresh_path(spark, "docs"), fresh_path(spark, "index")
+    rows = [(1, "Tea", "green tea leaves"), (2, "Cup", "a cup of tea"), (3, "None", "")]
+    spark.createDataFrame(rows, "id bigint, title string, text string").write.parquet(docs)
+    jobs.search_index(spark, docs, out)
+    assert [r.title for r in jobs.search(spark, out, "green tea").collect()] == ["Tea", "Cup"]
+
+
+def test_page_job(spark):
+    source, out = fresh_path(spark, "pages"), fresh_path(spark, "out")
+    for title, link in (("A", "b"), ("B", "a")):
+        page = f"<page><title>{title}</title><revision><text>[[{link}]]</text></revision></page>"
+        spark.createDataFrame([(page,)], "v string").write.mode("append").text(source)
+        jobs.page_backlinks(spark, source, out)
+    table = tables.collect_backlinks(SP.backlinks(spark, f"{out}/backlinks"))
+    assert {r.title: r.referredby for r in table.collect()} == {"a": ["b"], "b": ["a"]}
+    assert SP.indexed(spark, f"{out}/index").count() == 2
+
+
 def test_command_line():
+    assert parser().parse_args(["monthly-phrases", "--source", "a", "--out", "b", "--first", "7"]).first == 7
     options = parser().parse_args(["author-graph", "--source", "a", "--out", "b", "--rounds", "3"])
     assert (options.job, options.rounds, options.hub_degree) == ("author-graph", 3, 100)
