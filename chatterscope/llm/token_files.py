@@ -36,11 +36,15 @@ from pyspark.sql import functions as F
 
 from chatterscope.llm import arrays
 from chatterscope.llm.piece_bpe import gather
-from chatterscope.session import fresh_path
+from chatterscope.session import cut_lineage, fresh_path
 
 SAMPLE_DOCS = 2_000
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
+#: Distinct stretches in one call of the library.
+JOINED = 200
+#: Distinct stretches that a worker remembers.
+MOST_SEEN = 1_500_000
 BLOCK_DOCS = 1_000
 BLOCK_BYTES = 2 << 20
 #: First bytes of UTF-8 characters among which are white space beyond ASCII, and their second bytes.
@@ -55,8 +59,18 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """First bytes of the stretches that are encoded on their own."""
+@cache
+def id_bytes(path: str) -> np.ndarray:
+    """The number of bytes of every id's text: its characters, each of which stands for a byte."""
+    vocabulary = load(path).get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    out[list(vocabulary.values())] = [len(x) for x in vocabulary]
+    return out
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the stretches that are encoded on their own, and marks of the bytes for which
+    texts are left whole."""
     white = arrays.WHITE[data]
     cut = np.zeros(len(data), bool)
     cut[1:] = white[1:] & ~white[:-1]
@@ -69,20 +83,72 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         for i in np.unique(np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1).tolist():
             cut[offsets[i] : offsets[i + 1]] = False
     cut[offsets[:-1][offsets[:-1] < len(data)]] = True
-    return np.flatnonzero(cut)
+    return np.flatnonzero(cut), odd
+
+
+def _library_ids(tokenizer, texts: list[str]) -> np.ndarray:
+    encoded = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return np.fromiter(itertools.chain.from_iterable(encoded), np.uint32)
+
+
+class Seen:
+    """Distinct stretches by hash and their ids; emptied when there are MOST_SEEN, or many ids."""
+
+    def __init__(self):
+        self.hashes, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Places of sorted hashes, -1 for new ones."""
+        if not len(self.hashes):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, at, -1)
+
+    def add(self, h: np.ndarray, ids: np.ndarray, edges: np.ndarray) -> None:
+        hashes = np.concatenate((self.hashes, h))
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.starts = np.concatenate((self.starts, edges[:-1] + len(self.ids)))[order]
+        self.sizes = np.concatenate((self.sizes, np.diff(edges)))[order]
+        self.ids = np.concatenate((self.ids, ids))
+
+
+@cache
+def seen_of(path: str) -> Seen:
+    return Seen()
 
 
-def encode(tokenizer, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def encode(path: str, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, each with the end id, and the texts' offsets in them."""
-    first = cuts(data, offsets)
+    tokenizer, lengths, seen = load(path), id_bytes(path), seen_of(path)
+    first, odd = cuts(data, offsets)
     ends = np.append(first[1:], len(data))
-    _, chosen, which = np.unique(arrays.span_hashes(data, first, ends), return_index=True, return_inverse=True)
+    distinct, chosen, which = np.unique(arrays.span_hashes(data, first, ends), return_index=True, return_inverse=True)
+    if len(seen.hashes) + len(distinct) > MOST_SEEN or len(seen.ids) > 6 * MOST_SEEN:
+        seen.__init__()
+    new = seen.find(distinct) < 0
+    a, b = first[chosen[new]], ends[chosen[new]]
+    # stretches from white space to another character can follow each other in one call: none of their
+    # places is lost, so they are told apart by the bytes of the ids
+    odds = np.concatenate(([0], np.cumsum(odd)))
+    joins = arrays.WHITE[data[a]] & ~arrays.WHITE[data[b - 1]] & (odds[a] == odds[b])
+    order = np.argsort(~joins, kind="stable")
+    a, b, n = a[order], b[order], int(joins.sum())
     raw = data.tobytes()
-    pieces = [raw[a:b].decode() for a, b in zip(first[chosen].tolist(), ends[chosen].tolist())]
-    encoded = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-    flat = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
-    ids, at = gather(flat, np.concatenate(([0], np.cumsum(sizes))), which)
+    pieces = [raw[x:y] for x, y in zip(a.tolist(), b.tolist())]
+    texts = [b"".join(pieces[k : min(k + JOINED, n)]).decode() for k in range(0, n, JOINED)]
+    flat = _library_ids(tokenizer, texts + [x.decode() for x in pieces[n:]])
+    reached = np.concatenate(([0], np.cumsum(lengths[flat])))
+    edges = np.searchsorted(reached, np.concatenate(([0], np.cumsum(b - a))))
+    if reached[-1] != (b - a).sum() or (reached[edges] != np.concatenate(([0], np.cumsum(b - a)))).any():
+        raise ValueError("ids do not end where their texts do")
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    seen.add(distinct[new], *gather(flat, edges, back))
+    place = seen.find(distinct)[which]
+    at = np.concatenate(([0], np.cumsum(seen.sizes[place])))
+    ids = seen.ids[np.arange(at[-1]) + np.repeat(seen.starts[place] - at[:-1], seen.sizes[place])]
     at = at[np.searchsorted(first, offsets)]
     n = len(offsets) - 1
     out = np.full(len(ids) + n, end_id, np.uint32)
@@ -92,12 +158,14 @@ def encode(tokenizer, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tup
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, width: int, most: int = SAMPLE_DOCS) -> bytes:
     """A dictionary trained on the ids of at most so many documents; empty if they are too few."""
-    chosen = docs.select("text").orderBy(F.xxhash64("doc_id", "text")).limit(most)
+    key = F.xxhash64("doc_id", "text")
+    keys = docs.select(key.alias("key")).distinct().orderBy("key").limit(most)
+    chosen = docs.withColumn("key", key).join(cut_lineage(keys), "key").select("text")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, offsets in arrays.blocks(arrays.column(batch, "text")):
-                ids, at = encode(load(tokenizer_path), data, offsets, end_id)
+                ids, at = encode(tokenizer_path, data, offsets, end_id)
                 ids = ids.astype(f"<u{width}")
                 # a dictionary holds no more of one document
                 rows = [ids[a:b].tobytes()[:DICTIONARY_BYTES] for a, b in zip(at[:-1], at[1:])]
@@ -132,7 +200,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0) ->
     )
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, shard = load(tokenizer_path), TaskContext.get().partitionId()
+        shard = TaskContext.get().partitionId()
         pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shared.value), write_content_size=True)
         doc_ids, sizes, frames, start, block = [], [], [], 0, 0
 
@@ -175,7 +243,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0) ->
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
             for first, data, offsets in arrays.blocks(arrays.column(batch, "text")):
-                ids, at = encode(tokenizer, data, offsets, end_id)
+                ids, at = encode(tokenizer_path, data, offsets, end_id)
                 ids = ids.astype(f"<u{width}")
                 for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
                     doc_ids.append(keys[first + i])

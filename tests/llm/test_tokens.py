@@ -61,7 +61,7 @@ def test_transducer_equals_the_library_for_any_chunk_and_table_size(texts):
 
 def test_byte_pieces_equal_the_library(texts):
     tokenizer = Tokenizer.from_file(BYTES)
-    ids, at = token_files.encode(tokenizer, *flat(texts), 0)
+    ids, at = token_files.encode(BYTES, *flat(texts), 0)
     assert rows(ids, at) == [e.ids + [0] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
