@@ -158,6 +158,39 @@ def test_a_long_shared_passage_goes_from_all_but_the_first(spark):
         assert all(r.text == (docs[0][1] if r.doc_id == 0 else own[r.doc_id]) for r in got)
 
 
+def test_passages_planted_inside_sentences_go_from_all_but_the_first(spark):
+    rng = random.Random(12)
+    words = lambda n: sentence(rng, n)[:-1].split()
+    for lengths in ((51, 60, 70), (39, 100, 300)):
+        docs, planted = [], {}
+        for k in range(12):
+            passage = words(lengths[k % 3])
+            for i in (2 * k, 2 * k + 1):
+                before, after = words(rng.randint(3, 60)), words(rng.randint(3, 60))
+                docs.append((i, " ".join(before + passage + after) + "."))
+                planted[i] = before, passage, after
+        got = {r.doc_id: r.text for r in sentence_spans.dedup_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+        for i, text in docs:
+            before, passage, after = planted[i]
+            out = got[i].rstrip(".").split()
+            if i % 2 == 0:
+                assert got[i] == text
+                continue
+            stayed = len(out) - len(before) - len(after)
+            head = next(n for n in range(stayed + 1) if out == before + passage[:n] + passage[len(passage) - stayed + n :] + after)
+            assert head < sentence_spans.NEAR and stayed - head < sentence_spans.NEAR
+
+
+def test_frequent_and_rare_spans_give_the_same_result(spark, documents, monkeypatch):
+    frame = documents.select("doc_id", "text")
+    rows = lambda: sorted((r.doc_id, r.text, r.n_removed) for r in sentence_spans.dedup_spans(frame).na.fill("").collect())
+    want = rows()
+    for name, value in (("FREQUENT", 0), ("SAMPLE", 1)):
+        monkeypatch.setattr(sentence_spans, name, value)
+        assert rows() == want
+        monkeypatch.undo()
+
+
 def test_spans_of_odd_rows(odd, none):
     got = sentence_spans.dedup_spans(odd)
     assert got.count() == odd.count() and got.filter("doc_id < 8 AND n_removed > 0").count() == 0
