@@ -140,7 +140,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, lists:
 
 def proximity_matches(index: DataFrame, phrases: DataFrame, within: int) -> DataFrame:
     """(phrase_id, doc, start, end): where all words of a phrase stand, in any order, in at most
-    `within` words around one of its rarest word.  phrases: phrase_id, text."""
+    `within` words around one of its rarest word; of all windows that hold this one and all words, those
+    that contain no shorter one.  phrases: phrase_id, text."""
     split = phrases.select("phrase_id", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
     terms = cut_lineage(split.select("phrase_id", F.xxhash64("word").alias("term")))
     postings = index.join(cut_lineage(terms.select("term").distinct()), "term", "left_semi")
@@ -156,13 +157,15 @@ def proximity_matches(index: DataFrame, phrases: DataFrame, within: int) -> Data
         .select("phrase_id", "n", "doc", F.col("pos").alias("at"), F.explode(F.array(slot - 1, slot, slot + 1)).alias("slot"))
     )
     near = centre.join(postings.withColumn("slot", slot), ["doc", "slot"]).join(terms, ["phrase_id", "term"])
-    near = near.filter(F.abs(F.col("pos") - F.col("at")) < within)
-    # the nearest of each word decides
-    closest = near.groupBy("phrase_id", "n", "doc", "at", "term").agg(
-        F.min_by("pos", F.struct(F.abs(F.col("pos") - F.col("at")), "pos")).alias("pos")
+    near = cut_lineage(near.filter(F.abs(F.col("pos") - F.col("at")) < within).select("phrase_id", "n", "doc", "at", "term", "pos").distinct())
+    # the windows that begin at a posting up to the centre and hold it; of each other word the first posting in it decides
+    begins = near.filter("pos <= at").select("phrase_id", "doc", "at", F.col("pos").alias("start")).distinct()
+    inside = near.join(begins, ["phrase_id", "doc", "at"]).filter((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + within))
+    firsts = inside.groupBy("phrase_id", "n", "doc", "at", "start", "term").agg(F.min("pos").alias("pos"))
+    spans = firsts.groupBy("phrase_id", "n", "doc", "at", "start").agg(
+        F.count("*").alias("found"), (F.greatest("at", F.max("pos")) + 1).alias("end")
     )
-    spans = closest.groupBy("phrase_id", "n", "doc", "at").agg(
-        F.count("*").alias("found"), F.min("pos").alias("start"), (F.max("pos") + 1).alias("end")
-    )
-    spans = spans.filter((F.col("found") == F.col("n")) & (F.col("end") - F.col("start") <= within))
-    return spans.select("phrase_id", "doc", "start", "end").distinct()
+    spans = spans.filter(F.col("found") == F.col("n"))
+    # of windows around one centre with one end the shortest
+    least = spans.groupBy("phrase_id", "doc", "at", "end").agg(F.max("start").alias("start"))
+    return least.select("phrase_id", "doc", "start", "end").distinct()

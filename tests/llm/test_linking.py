@@ -73,6 +73,37 @@ def test_proximity(spark):
     assert {(r.phrase_id, keys[r.doc], r.start, r.end) for r in got} == {(1, 1, 0, 5), (1, 3, 0, 3)}
 
 
+def brute_windows(docs, phrase, within):
+    """(doc_id, start, end): the least windows with all words, around each of the rarest word."""
+    wanted = set(words(phrase))
+    counts = collections.Counter(w for _, text in docs for w in words(text) if w in wanted)
+    (rarest, n), (_, more) = sorted(counts.items(), key=lambda x: x[1])[:2]
+    assert n < more and set(counts) == wanted
+    out = set()
+    for doc_id, text in docs:
+        w = words(text)
+        for at in (k for k, x in enumerate(w) if x == rarest):
+            all_ = [(s, e) for s in range(max(0, at - within + 1), at + 1) for e in range(at + 1, min(len(w), s + within) + 1) if wanted <= set(w[s:e])]
+            out |= {(doc_id, s, e) for s, e in all_ if not any((s, e) != (x, y) and s <= x and y <= e for x, y in all_)}
+    return out
+
+
+def test_proximity_against_brute_force(spark):
+    rng = random.Random(5)
+    docs = [(0, " ".join("x x x x x x x x b x a x x b c".split()))]
+    docs += [(k, " ".join(rng.choices(["a", "b", "c", "d", "x", "y"], [2, 5, 4, 3, 6, 6], k=rng.randint(0, 80)))) for k in range(1, 40)]
+    phrases = [(1, "a b c"), (2, "d b"), (3, "d c b a"), (4, "C")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    keys = {r.k: r.doc_id for r in frame.select("doc_id", decontamination.doc_key().alias("k")).collect()}
+    index, asked = decontamination.build_index(frame), spark.createDataFrame(phrases, "phrase_id long, text string")
+    for within in (2, 5, 9):
+        got = [(r.phrase_id, keys[r.doc], r.start, r.end) for r in decontamination.proximity_matches(index, asked, within).collect()]
+        want = {(i, *x) for i, text in phrases[:3] for x in brute_windows(docs, text, within)}
+        want |= {(4, d, k, k + 1) for d, text in docs for k, x in enumerate(text.split()) if x == "c"}
+        assert len(got) == len(set(got)) and set(got) == want
+        assert within < 5 or any(x[:2] == (1, 0) for x in got)
+
+
 def test_decontamination_equals_sql(spark, sf_dir):
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
