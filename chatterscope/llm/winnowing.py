@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from chatterscope.llm import arrays
 from chatterscope.session import cut_lineage
 
-K = 16
-WINDOW = 48
+K = 8
+WINDOW = 8
 RANGE_ROWS = 2_000
 MOST_RANGES = 20_000
 _BASE = 0x9E3779B97F4A7C15

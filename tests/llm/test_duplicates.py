@@ -236,3 +236,16 @@ def test_next_document_and_edits(spark, odd, none, documents):
     assert winnowing.compare_with_next(odd.filter("doc_id = 3")).first().near_next == 1
     prints = {(r.text or "", str(r.hashes)) for r in winnowing.fingerprint(odd).collect()}
     assert len(prints) == odd.select("text").na.fill("").distinct().count()
+
+
+def test_short_texts_share_hashes_with_their_kept_halves(spark):
+    rng = random.Random(3)
+    docs = [(i, "".join(rng.choices("abcdefghij klmnop", k=30 + i))) for i in range(120)]
+    got = winnowing.compare_with_next(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(got) == 120 and all(0 < r.near_edited < 1 for r in got)
+    # a passage of K + WINDOW - 1 characters in otherwise different texts
+    passage = "".join(rng.choices("abcdefghij", k=winnowing.K + winnowing.WINDOW - 1))
+    texts = ["".join(rng.choices(letters, k=40)) + passage + "".join(rng.choices(letters, k=40)) for letters in ("qrstu", "vwxyz")]
+    assert len(passage) == 15
+    (a, b) = (set(r.hashes) for r in winnowing.fingerprint(spark.createDataFrame([(t,) for t in texts], "text string")).collect())
+    assert a & b
