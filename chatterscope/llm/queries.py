@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterscope.llm import decontamination, kneser_ney, near_duplicates, piece_bpe, sentence_spans, token_counts, token_files, tool_calls, toxicity, winnowing
+from chatterscope.llm import (
+    decontamination,
+    kneser_ney,
+    merkle,
+    near_duplicates,
+    piece_bpe,
+    sentence_spans,
+    spelling,
+    sql,
+    token_counts,
+    token_files,
+    tool_calls,
+    toxicity,
+    warc,
+    winnowing,
+)
 from chatterscope.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -187,3 +202,32 @@ def op8_tool_calls(spark, sf_dir):
     calls, results = calls_of(table(spark, sf_dir, "conversations"))
     schemas = spark.createDataFrame(TOOLS, "name string, param string, kind string, required boolean")
     return tool_calls.link(calls, results, schemas)
+
+
+@CATALOG.query(sql.spelling())
+def op11_spelling_variants(spark, sf_dir):
+    found = spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"), spelling.SLIP)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@CATALOG.query(sql.merkle())
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = merkle.check_copy(docs, changed, merkle.lowered(F.col("text")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        F.col("group_root").alias("subroot"),
+        "root",
+        merkle.proof_hash(F.col("steps")).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
+@CATALOG.query(sql.WARC)
+def op13_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.encode("html", "utf-8").alias("payload"))
+    found = warc.round_trip(pages)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
