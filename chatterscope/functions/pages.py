@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterscope import constants as C
 
 # Fixed value: a schema that takes only what tells a broken page.
 PAGE_SCHEMA = "_corrupt_record STRING"
+BETWEEN = "\x01"
 LINK = r"\[\[.*?\]\]"
 
 
 def parse_page_xml(xml: Column) -> Column:
     """Struct (title in lower case, text); NULL fields where the XML is broken or has none.
 
-    Title and text are what the first element with that word in its name begins with, at any depth.
+    Title and text are what the first element with that word in its name begins with, at any depth.  One
+    pass tells whether the XML is whole, which XPath needs, and one XPath finds both: a text node is never
+    empty, and the character between them cannot stand in XML.
     """
     valid = F.from_xml(xml, F.lit(PAGE_SCHEMA), {"mode": "PERMISSIVE"})["_corrupt_record"].isNull()
+    first = "(//*[contains(name(), '{}')])[1]/text()[1]"
+    path = f"concat({first.format('title')}, '{BETWEEN}', {first.format('text')})"
+    both = F.when(xml.isNotNull() & valid, F.split(F.xpath_string(xml, F.lit(path)), BETWEEN, 2))
 
-    def first(word: str) -> Column:
-        found = F.xpath(xml, F.lit(f"(//*[contains(name(), '{word}')])[1]/text()[1]"))
-        return F.when(xml.isNotNull() & valid, F.get(found, F.lit(0)))
+    def fields(parts: Column) -> Column:
+        own = [F.nullif(F.get(parts, F.lit(k)), F.lit("")) for k in (0, 1)]
+        return F.struct(F.lower(own[0]).alias("title"), own[1].alias("text"))
 
-    return F.struct(F.lower(first("title")).alias("title"), first("text").alias("text"))
+    return F.transform(F.array(both), fields).getItem(0)
+
+
+def parsed_pages(messages: DataFrame, xml: str, *keep: str) -> DataFrame:
+    """``keep``, title, text of XML pages, each parsed once whatever is made of them: what a generator
+    gives is not computed again in a filter above it."""
+    return messages.select(*keep, F.inline(F.array(parse_page_xml(F.col(xml)))))
 
 
 def page_id(title: Column) -> Column:

@@ -146,6 +146,11 @@ def sentence_tokens(normalized: Column) -> Column:
     )
 
 
+def marked_tokens(marked: Column) -> Column:
+    """Flat token array of a text whose sentences already end with ``BREAK``."""
+    return F.regexp_extract_all(F.replace(marked, F.lit("'")), F.lit(GLUED_TOKEN), F.lit(0))
+
+
 def segment_sentences(normalized: Column) -> Column:
     """Array of sentences, each an array of tokens, with the closing punctuation as tokens."""
     sentences = F.filter(

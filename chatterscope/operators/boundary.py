@@ -3,6 +3,8 @@
 An optional replacement of the fixed sentence rule: candidates are punctuation tokens, described
 by the word before, the mark, whether that word has one character and whether the next one is
 capitalized.  Probabilities are expected-likelihood estimates (one half added to each count).
+
+``mark_sentences`` puts its decisions into texts; ``ngrams.phrases(..., model=...)`` cuts phrases there.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatterscope.functions import text as T
 from chatterscope.session import cut_lineage
 
 # Marks that are trained on and marks that are classified.
@@ -18,8 +21,13 @@ SCORED_MARKS = (",", ".", "?", "!", '"', "(", ")", "[", "]", "{", "}")
 FEATURES = ("next_cap", "prevword", "punct", "one_char")
 SMALL_FEATURES = ("next_cap", "punct", "one_char")
 GAMMA = 0.5
+#: Stands for a feature's unseen values in the map of numbers; no value is equal to it.
+UNSEEN = "\x00"
 
 _TOKEN = r"[\p{L}\p{N}_]+|\n+|[^\p{L}\p{N}_\s]"
+#: The same tokens and the white space between them: all of a text.
+PART = r"[\p{L}\p{N}_]+|\n+|[ \t\x0B\f\r]+|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
+_BLANKS = (" ", "\t", "\x0b", "\f", "\r")
 
 
 def candidates(documents: DataFrame, marks=TRAINED_MARKS, id: str = "id") -> DataFrame:
@@ -27,13 +35,18 @@ def candidates(documents: DataFrame, marks=TRAINED_MARKS, id: str = "id") -> Dat
     tokens = documents.select(
         id, F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0)).alias("t")
     )
+    return _described(tokens.withColumn("pos", F.transform("t", lambda x, i: i)), marks, id)
+
+
+def _described(tokens: DataFrame, marks, id: str) -> DataFrame:
+    """The candidates among tokens (``id``, t, pos, two arrays side by side)."""
     tokens = tokens.select(
         id,
         F.col("t").alias("tok"),
         F.concat(F.array(F.lit(None).cast("string")), "t").alias("prev"),
         F.slice("t", 2, F.size("t")).alias("next"),
         F.slice("t", 3, F.size("t")).alias("after"),
-        F.transform("t", lambda x, i: i).alias("pos"),
+        "pos",
     )
     zipped = F.filter(
         F.arrays_zip("tok", "prev", "next", "after", "pos"), lambda z: z["tok"].isin(list(marks))
@@ -112,7 +125,7 @@ def boundary_model_score(found: DataFrame, model: DataFrame) -> DataFrame:
     """
     small = model.where((F.col("feature") != "prevword") | F.col("value").isNull())
     logs = F.struct("true_log", "false_log")
-    key = F.concat_ws(":", F.col("feature"), F.coalesce("value", F.lit("?")))
+    key = F.concat_ws(":", F.col("feature"), F.coalesce("value", F.lit(UNSEEN)))
     known = small.agg(F.map_from_entries(F.collect_list(F.struct(key, logs))).alias("m")).scalar()
 
     words = model.where((F.col("feature") == "prevword") & F.col("value").isNotNull()).select(
@@ -126,10 +139,40 @@ def boundary_model_score(found: DataFrame, model: DataFrame) -> DataFrame:
         logs = known["label:"][column]
         for feature in SMALL_FEATURES:
             seen = known[F.concat(F.lit(f"{feature}:"), F.col(feature))]
-            logs = logs + F.coalesce(seen[column], known[f"{feature}:?"][column])
-        return logs + F.coalesce(f"word_{side}", known["prevword:?"][column])
+            logs = logs + F.coalesce(seen[column], known[f"{feature}:{UNSEEN}"][column])
+        return logs + F.coalesce(f"word_{side}", known[f"prevword:{UNSEEN}"][column])
 
     scored = found.join(words, "prevword", "left").select(
         *found.columns, total("true").alias("true_log"), total("false").alias("false_log")
     )
     return scored.withColumn("boundary", F.col("true_log") > F.col("false_log"))
+
+
+def mark_sentences(texts: DataFrame, model: DataFrame, text: str = "normalized") -> DataFrame:
+    """The rows of texts with ``text`` changed: ``BREAK`` in place of each mark that ends a sentence.
+
+    Texts are split once and the parts written.  Only distinct descriptions of candidates are scored;
+    those that end a sentence are joined back (a description is shuffled with its candidates only if
+    they are too many to be broadcast), and the places of a text's ends are gathered to an array, along which
+    its parts are cut.
+    """
+    clean = F.replace(F.replace(F.col(text), F.lit(T.BREAK)), F.lit(T.TAIL))
+    parts = texts.withColumn("parts", F.regexp_extract_all(clean, F.lit(PART), F.lit(0))).drop(text)
+    parts = cut_lineage(parts.withColumn("row", F.monotonically_increasing_id()))
+    numbered = F.transform("parts", lambda x, i: F.struct(x.alias("t"), i.alias("pos")))
+    solid = F.filter(numbered, lambda p: ~F.substring(p["t"], 1, 1).isin(*_BLANKS))
+    tokens = parts.select("row", solid.alias("s")).select("row", F.col("s.t").alias("t"), F.col("s.pos").alias("pos"))
+    found = cut_lineage(_described(tokens, SCORED_MARKS, "row").select("row", "pos", *FEATURES))
+    ends = boundary_model_score(found.select(*FEATURES).distinct(), model).where("boundary")
+    ends = cut_lineage(ends.select(*FEATURES))
+    places = found.join(ends, list(FEATURES), "left_semi").groupBy("row").agg(
+        F.array_sort(F.collect_list("pos")).alias("places")
+    )
+    marked = parts.join(places, "row", "left")
+    none = F.array().cast("array<int>")
+    before = F.concat(F.array(F.lit(-1)), F.coalesce("places", none))
+    after = F.concat(F.coalesce("places", none), F.array(F.size("parts")))
+    piece = F.zip_with(
+        before, after, lambda a, b: F.array_join(F.slice("parts", a + 2, b - a - 1), "")
+    )
+    return marked.withColumn(text, F.array_join(piece, T.BREAK)).drop("parts", "places", "row")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterscope import constants as C
@@ -97,6 +97,53 @@ def edge_weights(
     return prune_edges_min_weight(edges, more_than) if more_than > 0 else edges
 
 
+def overlap_candidates(
+    members: DataFrame, more_than: int, also: Sequence[str] = (), block: int = PAIR_BLOCK
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """also, src, dst, weight of the pairs that can have more than so many common authors, where
+    weight counts the common authors that are rare in both; then the rare and the frequent members.
+
+    A community's ``more_than`` authors with most communities are its frequent ones.  Two communities
+    with more common authors than that share one that is rare in both.
+    """
+    key = [*also, "community"]
+    spread_ = members.groupBy(*also, "author").agg(F.count(F.lit(1)).alias("communities"))
+    first = Window.partitionBy(*key).orderBy(F.col("communities").desc(), "author")
+    # the limit is applied in every task before the shuffle: so many rows of a community
+    ranked = members.join(spread_, [*also, "author"]).withColumn("place", F.row_number().over(first))
+    frequent = cut_lineage(ranked.where(F.col("place") <= more_than).select(*key, "author"))
+    rare = cut_lineage(members.join(frequent, [*key, "author"], "left_anti").select(*key, "author"))
+    pairs = co_membership_pairs(rare, also, block)
+    return pairs.groupBy(*also, "src", "dst").agg(F.count(F.lit(1)).alias("weight")), rare, frequent
+
+
+def overlap_edges(
+    members: DataFrame, more_than: int, also: Sequence[str] = (), block: int = PAIR_BLOCK
+) -> DataFrame:
+    """Edges with more than so many common authors, equal to ``edge_weights`` with that limit.
+
+    The authors of most communities, who make most pairs, are paired with nothing: only pairs that meet
+    in rare authors are counted, and their frequent ones, a fixed number, looked up afterwards.
+    """
+    key = [*also, "community"]
+    large_enough = members.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > more_than)
+    members = cut_lineage(members.join(large_enough.select(*key), key, "left_semi").select(*key, "author"))
+    found, rare, frequent = overlap_candidates(members, more_than, also, block)
+    found = cut_lineage(found)
+
+    def looked_up(end: str, other: str, theirs: DataFrame) -> DataFrame:
+        """Pairs once for each frequent author of ``end`` among the other's members."""
+        asked = found.drop("weight").join(frequent.withColumnRenamed("community", end), [*also, end])
+        there = theirs.withColumnRenamed("community", other)
+        return asked.join(there, [*also, other, "author"], "left_semi").select(
+            *also, "src", "dst", F.lit(1).cast("bigint").alias("weight")
+        )
+
+    every = found.unionByName(looked_up("src", "dst", members)).unionByName(looked_up("dst", "src", rare))
+    weights = every.groupBy(*also, "src", "dst").agg(F.sum("weight").alias("weight"))
+    return prune_edges_min_weight(weights, more_than)
+
+
 def prune_edges_min_weight(edges: DataFrame, more_than: int = C.EDGE_AUTHORS) -> DataFrame:
     return edges.where(F.col("weight") > more_than)
 

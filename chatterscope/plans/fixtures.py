@@ -123,10 +123,7 @@ STOP_SQL = ", ".join(
 PUNCTUATION_SQL = sql_text(C.PUNCTUATION)
 
 # kept: one row per token that is not punctuation; w is NULL for breaks and stop words
-TOKENS = (
-    COMMENTS
-    + f""",
-marked AS (SELECT id, author, community, month, created_utc, {sql_marked(sql_normalize('body'))} AS t FROM comments),
+PHRASES = f"""
 lists AS (SELECT * EXCLUDE (t), regexp_extract_all(t, {GLUED_TOKEN_SQL}) AS toks FROM marked),
 toks AS (SELECT * EXCLUDE (toks), unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM lists),
 kept AS (SELECT *, CASE WHEN tok = chr(1) OR tok IN ({STOP_SQL}) THEN NULL ELSE tok END AS w
@@ -141,6 +138,11 @@ phrases AS (
   UNION ALL
   SELECT id, author, community, month, created_utc, 3, w || ' ' || w2 || ' ' || w3 FROM wide
   WHERE w IS NOT NULL AND w2 IS NOT NULL AND w3 IS NOT NULL)"""
+TOKENS = (
+    COMMENTS
+    + f""",
+marked AS (SELECT id, author, community, month, created_utc, {sql_marked(sql_normalize('body'))} AS t FROM comments),"""
+    + PHRASES
 )
 
 MONTHLY = (

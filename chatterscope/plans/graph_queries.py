@@ -120,6 +120,13 @@ def prune_edges_min_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges(spark, sf_dir)
 
 
+@query(f"WITH {BOUGHT} SELECT * FROM year_kept")
+def edges_by_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of every year, counted only for pairs that share rare authors."""
+    yearly = bought(spark, sf_dir).select("year", "author", "community").distinct()
+    return G.overlap_edges(yearly, 3, ["year"])
+
+
 @query(f"WITH {BOUGHT} SELECT year, src AS node1, dst AS neighbour, CAST(weight AS INTEGER) AS weight FROM year_kept")
 def adjacency_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = G.adjacency_map(G.adjacency_rows(year_edges(spark, sf_dir), ["year"]), ["year"])
@@ -219,9 +226,34 @@ ROUNDS = 3
 
 @query(f"{_labels_sql(ROUNDS)} SELECT node, community FROM l{ROUNDS}")
 def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rounds only, which SQL can tell; ``communities_settled`` goes on to the end."""
     return clustering.communities(edges(spark, sf_dir), ROUNDS, settle=False)
 
 
+@query()
+def communities_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.communities(edges(spark, sf_dir))
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published graphs of all years, as a stored table."""
+    return cut_lineage(G.graph_by_year(year_edges(spark, sf_dir), HUB_BELOW))
+
+
+@query()
+def modularity_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classes of the published graph of every year."""
+    return clustering.modularity_classes(published(spark, sf_dir), ["year"])
+
+
+@query()
+def modularity_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modularity of those classes."""
+    graphs = published(spark, sf_dir)
+    score = clustering.modularity(graphs, clustering.modularity_classes(graphs, ["year"]), ["year"])
+    return score.withColumn("modularity", F.round("modularity", 9))
+
+
 @query(
     f"""{_labels_sql(ROUNDS)},
 s AS (SELECT community, sum(weight) AS strength FROM arcs JOIN l{ROUNDS} ON src = node GROUP BY community),

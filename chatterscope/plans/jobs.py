@@ -57,7 +57,7 @@ def monthly_phrases(
 ) -> None:
     """Corpus-wide phrase table, one batch per month of the files."""
     comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS), white, black, first)
-    table = N.monthly_table(comments)
+    table = N.monthly_frequent(comments)
     tables.write_batches(
         table.withColumn("batch", _month_number("month")),
         out,
@@ -181,16 +181,19 @@ def author_graph(
     authors_more_than: int = C.EDGE_AUTHORS,
     hub_degree: int = C.HUB_DEGREE,
     rounds: int = 5,
+    classes: str = "modularity",
 ) -> None:
     """Per year: ``out``/adjacency, the published graph in ``out``/edges and ``out``/nodes with
     the class of every node, ``out``/modularity.
 
+    ``classes`` are found by modularity, or by "propagation" in ``rounds`` and until labels settle.
+
     A year is computed from all its files: thresholds hold for the year, not for a month.
     """
     also = ["year"]
     comments = _comments(spark, source, ACTIVITY_FIELDS).withColumn("year", F.year("month"))
     members = A.active_memberships(A.author_activity(comments, *also), comments_more_than)
-    edges = cut_lineage(G.edge_weights(members, also, authors_more_than))
+    edges = cut_lineage(G.overlap_edges(cut_lineage(members), authors_more_than, also))
     years = sorted({m // 100 for m in CM.file_months(spark, source)})
 
     def write(rows: DataFrame, name: str, sort_by=()) -> None:
@@ -200,7 +203,11 @@ def author_graph(
     write(G.adjacency_rows(edges, also), "adjacency", ["node1"])
 
     published = cut_lineage(G.graph_by_year(edges, hub_degree, also))
-    labels = clustering.communities(published, rounds, also)
+    labels = (
+        clustering.modularity_classes(published, also)
+        if classes == "modularity"
+        else clustering.communities(published, rounds, also)
+    )
     write(published, "edges", ["src"])
     write(labels, "nodes", ["node"])
     write(cut_lineage(clustering.modularity(published, labels, also)), "modularity")

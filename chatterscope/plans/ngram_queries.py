@@ -207,6 +207,18 @@ def prune_adaptive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.monthly_table(X.comments(spark, sf_dir)).drop("percentage")
 
 
+@query(f"WITH {X.MONTHLY} SELECT month, n, ngram, cnt, total FROM monthly")
+def frequent_phrases_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As prune_adaptive; what cannot reach the floor is left out before the shuffle."""
+    return N.frequent_phrases(X.comments(spark, sf_dir), ["month"], ["month"], adaptive=True)
+
+
+@query(f"WITH {BUCKETED} SELECT cc.*, total FROM cc JOIN bt USING (bucket, n) WHERE {FLOOR}")
+def frequent_phrases_community(spark: SparkSession, sf_dir: str) -> DataFrame:
+    comments = X.comments(spark, sf_dir).withColumn("bucket", TM.bucket_time(F.col("created_utc"), "month"))
+    return N.frequent_phrases(comments, ["bucket", "community"], ["bucket"])
+
+
 @query(f"WITH {BUCKETED} SELECT * FROM cc WHERE {FLOOR}")
 def prune_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.above_floor(community_counts(spark, sf_dir))

@@ -9,7 +9,7 @@ from chatterscope.functions import pages as P
 from chatterscope.plans import fixtures as X
 from chatterscope.plans.catalog import Catalog
 from chatterscope.plans.filter_queries import TRACKED
-from chatterscope.session import fresh_path
+from chatterscope.session import cut_lineage, fresh_path
 from chatterscope.sources import tables
 from chatterscope.streaming import messages as SM
 from chatterscope.streaming import pages as SP
@@ -74,10 +74,7 @@ def page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {PAGES} SELECT page_id, title, text FROM parsed")
 def parse_page_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = page_messages(spark, sf_dir).select(
-        "page_id", P.parse_page_xml(F.col("value")).alias("page")
-    )
-    return parsed.select("page_id", "page.title", "page.text")
+    return P.parsed_pages(page_messages(spark, sf_dir), "value", "page_id")
 
 
 @query(f"WITH {PAGES} SELECT page_id, title FROM articles")
@@ -176,14 +173,14 @@ def upsert_set_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "page-table")
     messages = page_messages(spark, sf_dir)
     numbered = messages.withColumn("batch", (F.col("page_id") % 3).cast("int"))
-    page = numbered.select("batch", P.parse_page_xml(F.col("value")).alias("page"))
-    pages = page.select("batch", "page.*").where(P.in_article_namespace(F.col("title")))
-    pages = pages.select(
+    page = P.parsed_pages(numbered, "value", "batch")
+    pages = page.where(P.in_article_namespace(F.col("title"))).select(
         "batch",
         P.page_id(F.col("title")).alias("id"),
         "title",
         P.extract_links(F.col("text")).alias("links"),
     )
+    pages = cut_lineage(pages)  # pages and links are made of them
     linksto = F.array_sort(F.array_distinct("links")).alias("linksto")
     tables.write_batches(pages.select("batch", "title", "id", linksto), f"{path}/pages")
     links = pages.select("batch", F.explode_outer("links").alias("target"), "title")

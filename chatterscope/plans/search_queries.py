@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterscope.operators import boundary as BD
+from chatterscope.operators import ngrams as N
 from chatterscope.operators import search as S
 from chatterscope.plans import fixtures as X
 from chatterscope.plans.catalog import Catalog
@@ -48,14 +49,14 @@ def match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.match_all(docs)
 
 
-def _candidates_sql(name: str, marks: tuple[str, ...]) -> str:
+def _candidates_sql(name: str, marks: tuple[str, ...], context: str = "ctx") -> str:
     listed = ", ".join(X.sql_text(m) for m in marks)
     return f"""{name} AS (SELECT doc_id AS id, CAST(pos - 1 AS INTEGER) AS pos,
   CASE WHEN first = upper(first) AND first <> lower(first) THEN 'true' ELSE 'false' END AS next_cap,
   lower(prev) AS prevword, tok AS punct,
   CASE WHEN length(prev) = 1 THEN 'true' ELSE 'false' END AS one_char, ends_line
 FROM (SELECT *, substring(coalesce(CASE WHEN ends_line THEN after ELSE nxt END, ''), 1, 1) AS first
-      FROM (SELECT *, coalesce(starts_with(nxt, chr(10)), false) AS ends_line FROM ctx))
+      FROM (SELECT *, coalesce(starts_with(nxt, chr(10)), false) AS ends_line FROM {context}))
 WHERE tok IN ({listed}) AND prev IS NOT NULL)"""
 
 
@@ -113,3 +114,22 @@ def boundary_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = cut_lineage(BD.boundary_model_fit(BD.candidates(docs)))
     scored = BD.boundary_model_score(BD.candidates(docs, BD.SCORED_MARKS), model)
     return _rounded(scored).select("id", "pos", "punct", "true_log", "false_log", "boundary")
+
+
+@query(
+    rf"""{MODEL}, {X.COMMENTS},
+np AS (SELECT id, regexp_extract_all(replace(replace({X.sql_normalize('body')}, chr(1), ''), chr(2), ''), {X.sql_text(BD.PART)}) AS parts FROM comments),
+part AS (SELECT id, unnest(parts) AS tok, generate_subscripts(parts, 1) AS pos FROM np),
+solid AS (SELECT id AS doc_id, pos, tok, lag(tok) OVER d AS prev, lead(tok) OVER d AS nxt, lead(tok, 2) OVER d AS after
+  FROM part WHERE NOT regexp_matches(tok, '^[ 	]') WINDOW d AS (PARTITION BY id ORDER BY pos)),
+{_candidates_sql("scored", BD.SCORED_MARKS, "solid")},
+ends AS (SELECT id, pos + 1 AS pos FROM (SELECT id, pos, {_side('true')}, {_side('false')} FROM scored s {_JOINS}) WHERE true_log > false_log),
+joined AS (SELECT part.id, replace(string_agg(CASE WHEN ends.id IS NULL THEN tok ELSE chr(1) END, '' ORDER BY part.pos), '''', '') AS t
+  FROM part LEFT JOIN ends USING (id, pos) GROUP BY part.id),
+marked AS (SELECT id, author, community, month, created_utc, t FROM joined JOIN comments USING (id)),{X.PHRASES}
+SELECT month, n, ngram, count(*) AS cnt FROM phrases GROUP BY ALL"""
+)
+def phrases_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrase counts by month, with sentences that end where the model says."""
+    model = cut_lineage(BD.boundary_model_fit(BD.candidates(documents(spark, sf_dir))))
+    return N.count_phrases(N.phrases(X.comments(spark, sf_dir), ["month"], model=model), ["month"])

@@ -73,16 +73,41 @@ def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> D
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def _order(batches: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> list[str]:
+    """What settles which of a key's rows is the last: the sequence, then values that can be compared."""
+    kinds = {f.name: f.dataType.simpleString() for f in batches.schema.fields}
+    values = [c for c in batches.columns if c not in (*keys, *sequence)]
+    return [*sequence, *(c for c in values if not re.search(r"map<|variant", kinds[c]))]
+
+
+def last_rows(
+    batches: DataFrame, keys: Sequence[str], sequence: Sequence[str] = ("batch",)
+) -> DataFrame:
+    """The last row per key with all its columns, in the order of ``sequence``.
+
+    Only keys and numbers are aggregated: each row gets a hash of what orders it besides the sequence, and
+    the rows of the largest (sequence, hash) are what is left; so long values go through one join and
+    no sort of theirs.  Rows equal in both are equal in what can be compared, and one of them stays.
+    """
+    order = _order(batches, keys, sequence)
+    rest = [c for c in order if c not in sequence]
+    # the order of ties is that of the values, for the few keys that have ties
+    own = batches.withColumn("__rank", F.struct(*sequence))
+    newest = own.groupBy(*keys).agg(F.max("__rank").alias("__rank"))
+    same = [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in (*keys, "__rank")]
+    kept = own.alias("x").join(newest.alias("y"), same, "left_semi").drop("__rank")
+    if not rest:
+        return kept.dropDuplicates(list(keys))
+    row = F.max_by(F.struct(*[c for c in batches.columns if c not in keys]), F.struct(*rest))
+    return kept.groupBy(*keys).agg(row.alias("__row")).select(*keys, "__row.*").select(batches.columns)
+
+
 def upsert_last_wins(
     batches: DataFrame, keys: Sequence[str], sequence: Sequence[str] = ("batch",)
 ) -> DataFrame:
     """The last row per key in the order of ``sequence``; ties are settled by those values of the row
-    that can be compared."""
-    values = [c for c in batches.columns if c not in (*keys, "batch")]
-    kinds = {f.name: f.dataType.simpleString() for f in batches.schema.fields}
-    compared = [c for c in values if c not in sequence and not re.search(r"map<|variant", kinds[c])]
-    row = F.max_by(F.struct(*values), F.struct(*sequence, *compared))
-    return batches.groupBy(*keys).agg(row.alias("row")).select(*keys, "row.*")
+    that can be compared.  The batch is not part of the result."""
+    return last_rows(batches, keys, sequence).drop("batch")
 
 
 def merge_counters(batches: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -97,11 +122,14 @@ def upsert_set_union(pages: DataFrame, links: DataFrame) -> DataFrame:
     ``pages``: batch, title, id, linksto - the last batch wins.  ``links``: target, title - the
     union of all batches.  A target without page of its own has id and linksto NULL.
     """
-    current = upsert_last_wins(pages, ["title"])
+    links = links.select("target", "title").distinct()
+    return with_sources(upsert_last_wins(pages, ["title"]), links)
+
+
+def with_sources(pages: DataFrame, links: DataFrame) -> DataFrame:
+    """title, id, linksto, source of pages, each title once, and links, each once."""
     referred = links.select(F.col("target").alias("title"), F.col("title").alias("source"))
-    return current.join(referred.distinct(), "title", "full_outer").select(
-        "title", "id", "linksto", "source"
-    )
+    return pages.join(referred, "title", "full_outer").select("title", "id", "linksto", "source")
 
 
 def collect_backlinks(table: DataFrame, titles: Sequence[str] | None = None) -> DataFrame:

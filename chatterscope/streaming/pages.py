@@ -1,7 +1,8 @@
 """Page stream: parse, filter, backlink table, index table.
 
-Each micro-batch replaces its own partition of the result tables, so a batch that is run again
-after a failure leaves them as they were.
+Result tables are versioned and dealt to buckets by title or id.  A micro-batch is merged into the
+buckets it touches as one more version, so their size follows from the pages, not from the number of
+ticks; a batch that is run again after a failure leaves them as they were.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chatterscope.functions import pages as P
-from chatterscope.sources import tables
+from chatterscope.session import cut_lineage
+from chatterscope.sources import tables, versions
 
 
 def stream_pages(
@@ -31,7 +33,7 @@ def stream_pages(
 
 def parse_filter(messages: DataFrame) -> DataFrame:
     """id, title, text, links of all pages in the article name space."""
-    page = messages.select(P.parse_page_xml(F.col("value")).alias("page")).select("page.*")
+    page = P.parsed_pages(messages, "value")
     return page.where(P.in_article_namespace(F.col("title"))).select(
         P.page_id(F.col("title")).alias("id"),
         "title",
@@ -41,7 +43,8 @@ def parse_filter(messages: DataFrame) -> DataFrame:
 
 
 PAGE_ROWS = "title STRING, id STRING, linksto ARRAY<STRING>, batch BIGINT"
-LINK_ROWS = "target STRING, title STRING, batch BIGINT"
+LINK_ROWS = "target STRING, title STRING"
+DOCUMENT_ROWS = "id STRING, title STRING, text STRING, batch BIGINT"
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -58,42 +61,53 @@ def _start(writer, trigger: dict | None) -> StreamingQuery:
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+def last_pages(rows: DataFrame) -> DataFrame:
+    return tables.last_rows(rows, ["title"])
+
+
+def last_documents(rows: DataFrame) -> DataFrame:
+    return tables.last_rows(rows, ["id"])
+
+
 def write_backlinks(
-    pages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    pages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, buckets: int = 64
 ) -> StreamingQuery:
     """Every tick: the batch's pages to ``path``/pages, its inverted links to ``path``/links."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch", F.lit(batch_id)).persist()
-        tables.write_batches(
-            page_rows(batch).withColumn("batch", F.lit(batch_id)), f"{path}/pages"
-        )
-        tables.write_batches(
-            link_rows(batch).withColumn("batch", F.lit(batch_id)), f"{path}/links"
-        )
-        batch.unpersist()
+        batch = cut_lineage(batch)
+        if not batch.limit(1).count():
+            return
+        number = F.lit(batch_id).cast("bigint").alias("batch")
+        own = page_rows(batch).select("title", "id", "linksto", number)
+        versions.merge_buckets(own, f"{path}/pages", "title", last_pages, buckets, ("stream", batch_id))
+        links = link_rows(batch).select("target", "title")
+        versions.merge_buckets(links, f"{path}/links", "target", lambda rows: rows.distinct(), buckets, ("stream", batch_id))
 
     return _start(
         pages.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint), trigger
     )
 
 
-def backlinks(spark: SparkSession, path: str) -> DataFrame:
-    """The backlink table as it stands, a row for every backlink."""
-    return tables.upsert_set_union(
-        tables.read_batches(spark, f"{path}/pages", PAGE_ROWS),
-        tables.read_batches(spark, f"{path}/links", LINK_ROWS),
-    )
+def backlinks(spark: SparkSession, path: str, title: str | None = None) -> DataFrame:
+    """The backlink table as it stands, a row for every backlink; for one title two buckets are read."""
+    if title is None:
+        pages = versions.read(spark, f"{path}/pages", schema=PAGE_ROWS)
+        links = versions.read(spark, f"{path}/links", schema=LINK_ROWS)
+    else:
+        pages = versions.lookup(spark, f"{path}/pages", "title", title)
+        links = versions.lookup(spark, f"{path}/links", "target", title)
+    return tables.with_sources(pages.drop("batch"), links)
 
 
 def write_index(
-    pages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    pages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, buckets: int = 64
 ) -> StreamingQuery:
     """Every tick: the batch's documents (id, title, text)."""
 
     def index(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("id", "title", "text").withColumn("batch", F.lit(batch_id))
-        tables.write_batches(rows, path)
+        rows = batch.select("id", "title", "text", F.lit(batch_id).cast("bigint").alias("batch"))
+        versions.merge_buckets(rows, path, "id", last_documents, buckets, ("stream", batch_id))
 
     return _start(
         pages.writeStream.foreachBatch(index).option("checkpointLocation", checkpoint), trigger
@@ -101,7 +115,7 @@ def write_index(
 
 
 def indexed(spark: SparkSession, path: str) -> DataFrame:
-    return tables.upsert_last_wins(tables.read_batches(spark, path), ["id"])
+    return versions.read(spark, path, schema=DOCUMENT_ROWS).drop("batch")
 
 
 def append_rows(

@@ -39,11 +39,14 @@ def canon(value):
     return value
 
 
-OWN = [name for name in QUERIES if name in registry.queries()]
+#: Iterations that SQL does not tell; tested against plain Python.
+WITHOUT_SQL = {"communities_settled", "modularity_classes", "modularity_settled"}
+OWN = [name for name in QUERIES if name in registry.queries() and name not in WITHOUT_SQL]
 
 
 def test_every_query_has_sql():
-    assert set(OWN) <= set(SQL) <= set(QUERIES) and len(OWN) == 90
+    assert set(OWN) <= set(SQL) <= set(QUERIES) and len(OWN) >= 90
+    assert WITHOUT_SQL <= set(QUERIES) and not WITHOUT_SQL & set(SQL)
 
 
 @pytest.mark.parametrize("name", OWN)

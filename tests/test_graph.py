@@ -147,3 +147,24 @@ def test_classes_settle(spark):
     pair = edge_frame(spark, [("a", "b", 10), ("c", "d", 3), ("d", "e", 3)])
     found = {r.node: r.community for r in communities(pair, 2).collect()}
     assert found["a"] == found["b"] == "a" and len({found[n] for n in "cde"}) == 1
+
+
+def test_edges_by_overlap_equal_all_pairs_and_need_fewer(spark):
+    import random
+
+    from chatterscope.operators import graph as G
+
+    rng = random.Random(4)
+    rows = {(y, f"u{rng.randrange(60)}", f"c{int(rng.paretovariate(0.6)) % 40}") for y in (1, 2) for _ in range(900)}
+    rows |= {(1, "everywhere", f"c{i}") for i in range(40)} | {(1, "bot", f"C{i}") for i in range(300)}
+    members = spark.createDataFrame(sorted(rows), "year long, author string, community string")
+    for more_than in (1, 3, 5):
+        expected = G.edge_weights(members, ["year"], more_than)
+        got = G.overlap_edges(members, more_than, ["year"])
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+        assert expected.count() > 0
+        rare = G.overlap_candidates(members, more_than, ["year"])[0]
+        paired = rare.agg({"weight": "sum"}).first()[0]
+        every = G.edge_weights(members, ["year"]).agg({"weight": "sum"}).first()[0]
+        assert paired < every / 2
+    assert G.overlap_edges(members.drop("year").distinct().limit(0), 2).count() == 0

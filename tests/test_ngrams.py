@@ -123,3 +123,81 @@ def test_buckets_do_not_depend_on_the_session_zone(spark):
         assert df.select(TM.parse_epoch(F.col("e"))).first()[0] == "2015-01-01"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def shuffled(spark):
+    """Bytes that all stages so far have written for shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+    stages = store.stageList(None, False, False, none, spark._jvm.java.util.ArrayList())
+    return sum(s.shuffleWriteBytes() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(stages))
+
+
+def test_phrases_that_cannot_be_frequent_are_not_shuffled(spark, sf_dir):
+    from chatterscope.plans import fixtures as X
+
+    comments = X.comments(spark, sf_dir)
+
+    def bytes_of(df):
+        before = shuffled(spark)
+        df.count()
+        return shuffled(spark) - before
+
+    old = [bytes_of(N.count_phrases(N.phrases(comments, ["month"], ns), ["month"])) for ns in ([1], N.NS)]
+    before = shuffled(spark)
+    one = N.frequent_phrases(comments, ["month"], ["month"], True, ns=[1])
+    one.count()
+    middle = shuffled(spark)
+    N.frequent_phrases(comments, ["month"], ["month"], True).count()
+    new = [middle - before, shuffled(spark) - middle]
+    assert 0 < (new[1] - new[0]) * 3 <= old[1] - old[0]
+
+
+def test_frequent_phrases_with_any_filter_size(spark, sf_dir, monkeypatch):
+    from chatterscope.plans import fixtures as X
+
+    comments = X.comments(spark, sf_dir)
+    cols = ["community", "n", "ngram", "cnt", "total"]
+    counts = N.count_phrases(N.phrases(comments, ["community"]), ["community"])
+    whole = rows_of(N.join_totals(N.above_floor(counts), N.totals(counts)), *cols)
+    for words in (1, N.FILTER_WORDS):
+        monkeypatch.setattr(N, "FILTER_WORDS", words)
+        assert rows_of(N.frequent_phrases(comments, ["community"]), *cols) == whole
+    only = [r for r in whole if r[1] == 2]
+    assert rows_of(N.frequent_phrases(comments, ["community"], ns=[2]), *cols) == only
+    assert N.frequent_phrases(comments.limit(0), ["community"]).count() == 0
+
+
+def test_the_model_moves_phrases_across_sentence_ends(spark):
+    from chatterscope.operators import boundary as B
+
+    def model(ends):
+        marks = [(word, mark) for word in ("cats", "dogs", "birds") for mark in ".?!" * 10]
+        lines = [(i, f"the {w}{m}{chr(10) if m in ends else ' '}then more") for i, (w, m) in enumerate(marks)]
+        lines += [(i, f"x{mark} more") for i, mark in enumerate(".?!" * 10)]
+        return B.boundary_model_fit(B.candidates(spark.createDataFrame(lines, "id long, text string")))
+
+    texts = [("big cats? small dogs. red birds, (green fish) blue",), (None,), ("",), ("mr.x don't stop",)]
+    comments = spark.createDataFrame(texts, "body string")
+    all_ends = {r.ngram for r in N.phrases(comments, [], [2], model=model(".?!")).collect()}
+    no_dots = {r.ngram for r in N.phrases(comments, [], [2], model=model("?!")).collect()}
+    assert {"big cats", "small dogs"} <= all_ends and "big cats" in no_dots
+    assert "dogs. red" in no_dots and "small dogs." in no_dots
+    assert not {g for g in all_ends if g.startswith(("dogs", "cats"))} and "cats small" not in no_dots
+    fixed = {r.ngram for r in N.phrases(comments, [], [2]).collect()}
+    assert "dogs red" not in fixed and "red birds" in fixed
+
+
+def test_candidates_are_not_shuffled_by_the_word_before(spark, sf_dir):
+    from chatterscope.operators import boundary as B
+    from chatterscope.plans import fixtures as X
+
+    docs = X.table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "text")
+    model = B.boundary_model_fit(B.candidates(docs))
+    marked = B.mark_sentences(docs.withColumnRenamed("text", "normalized"), model)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(prevword" not in plan
+    texts = {r.id: r.text for r in docs.collect()}
+    for r in marked.collect():  # nothing but marks is changed
+        assert len(r.normalized) == len(texts[r.id])
+        assert all(a == b or (b in B.SCORED_MARKS and a == T.BREAK) for a, b in zip(r.normalized, texts[r.id], strict=True))
