@@ -17,6 +17,9 @@ JOBS = {
     "graph-file": jobs.graph_file,
     "search-index": jobs.search_index,
     "page-backlinks": jobs.page_backlinks,
+    "daily-documents": jobs.daily_documents,
+    "message-table": jobs.message_table,
+    "follower-walk": jobs.follower_walk,
 }
 
 
@@ -28,6 +31,8 @@ def parser() -> argparse.ArgumentParser:
         for key, param in list(inspect.signature(job).parameters.items())[1:]:
             required = param.default is inspect.Parameter.empty
             kind = int if "int" in str(param.annotation) else str
+            if "bool" in str(param.annotation):
+                kind = lambda word: word.lower() in ("true", "yes", "1")
             command.add_argument(
                 "--" + key.replace("_", "-"),
                 type=kind,

@@ -15,20 +15,36 @@ from chatterscope import constants as C
 from chatterscope.functions import time as TM
 from chatterscope.operators import activity as A
 from chatterscope.operators import clustering, filters
+from chatterscope.operators import followers as FW
 from chatterscope.operators import graph as G
 from chatterscope.operators import ngrams as N
 from chatterscope.operators import search as S
 from chatterscope.session import cut_lineage
 from chatterscope.sources import comments as CM
-from chatterscope.sources import gexf, lists, tables
+from chatterscope.sources import gexf, lists, tables, versions
+from chatterscope.sources import messages as M
 from chatterscope.streaming import pages as SP
 
 PHRASE_FIELDS = "body STRING, created_utc STRING, subreddit STRING"
 ACTIVITY_FIELDS = "author STRING, created_utc STRING, subreddit STRING"
 
 
-def _comments(spark: SparkSession, source: str, fields: str) -> DataFrame:
-    return CM.scan_month_files(spark, source, fields).withColumnRenamed("subreddit", "community")
+def _comments(spark: SparkSession, source: str, fields: str, period: str | None = None) -> DataFrame:
+    """Comments of the files of a period, YYYY or YYYY-MM; other files are not read."""
+    comments = CM.scan_month_files(spark, source, fields).withColumnRenamed("subreddit", "community")
+    if period is None:
+        return comments
+    chosen = comments.withColumn("year", F.year("month"))
+    year, _, month = period.partition("-")
+    if month:
+        chosen = chosen.where(F.month("month") == int(month))
+    return CM.select_period(chosen, int(year)).drop("year")
+
+
+def _owned(spark: SparkSession, source: str, period: str | None) -> list[int]:
+    """The months of the files of a period, which a run replaces."""
+    months = CM.file_months(spark, source)
+    return [m for m in months if period is None or str(m).startswith(period.replace("-", ""))]
 
 
 def _listed(
@@ -54,15 +70,16 @@ def monthly_phrases(
     white: str | None = None,
     black: str | None = None,
     first: int | None = None,
+    period: str | None = None,
 ) -> None:
     """Corpus-wide phrase table, one batch per month of the files."""
-    comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS), white, black, first)
+    comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS, period), white, black, first)
     table = N.monthly_frequent(comments)
     tables.write_batches(
         table.withColumn("batch", _month_number("month")),
         out,
         sort_by=["ngram"],
-        owned=CM.file_months(spark, source),
+        owned=_owned(spark, source, period),
     )
 
 
@@ -74,12 +91,13 @@ def community_phrases(
     black: str | None = None,
     first: int | None = None,
     grain: str = "month",
+    period: str | None = None,
 ) -> None:
     """Phrase counts per community (``out``/table) and its counters (``out``/counters).
 
     Both come from one pass over the text and have one batch per month of the files.
     """
-    comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS), white, black, first)
+    comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS, period), white, black, first)
     comments = comments.withColumns(
         {
             "bucket": TM.bucket_time(F.col("created_utc"), grain),
@@ -88,7 +106,7 @@ def community_phrases(
     )
     keys = ["batch", "bucket", "community"]
     counts = cut_lineage(N.count_phrases(N.phrases(comments, keys), keys))
-    owned = CM.file_months(spark, source)
+    owned = _owned(spark, source, period)
     tables.write_batches(counts, f"{out}/table", sort_by=["ngram"], owned=owned)
 
     rolled = counts.groupBy("batch", "community", "n", "ngram").agg(F.sum("cnt").alias("cnt"))
@@ -117,10 +135,15 @@ def read_community_counters(spark: SparkSession, path: str) -> DataFrame:
 
 
 def daily_phrases(
-    spark: SparkSession, source: str, out: str, white: str | None = None, black: str | None = None
+    spark: SparkSession,
+    source: str,
+    out: str,
+    white: str | None = None,
+    black: str | None = None,
+    period: str | None = None,
 ) -> None:
     """Phrase counts per day and community."""
-    comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS), white, black, None)
+    comments = _listed(spark, _comments(spark, source, PHRASE_FIELDS, period), white, black, None)
     comments = comments.withColumns(
         {
             "bucket": TM.bucket_time(F.col("created_utc"), "day"),
@@ -129,7 +152,7 @@ def daily_phrases(
     )
     keys = ["batch", "bucket", "community"]
     counts = N.count_phrases(N.phrases(comments, keys), keys)
-    tables.write_batches(counts, out, sort_by=["ngram"], owned=CM.file_months(spark, source))
+    tables.write_batches(counts, out, sort_by=["ngram"], owned=_owned(spark, source, period))
 
 
 def read_daily_phrases(spark: SparkSession, path: str) -> DataFrame:
@@ -138,10 +161,10 @@ def read_daily_phrases(spark: SparkSession, path: str) -> DataFrame:
     return N.relative_frequency(N.prune_adaptive(counts))
 
 
-def daily_statistics(spark: SparkSession, source: str, out: str) -> None:
+def daily_statistics(spark: SparkSession, source: str, out: str, period: str | None = None) -> None:
     """What daily rows are counted from: the authors of each day, and its communities with their
     comments, one batch per month of the files."""
-    comments = _comments(spark, source, ACTIVITY_FIELDS).select(
+    comments = _comments(spark, source, ACTIVITY_FIELDS, period).select(
         _month_number("month").alias("batch"),
         TM.epoch_day(F.col("created_utc")).alias("date"),
         F.inline(
@@ -153,7 +176,7 @@ def daily_statistics(spark: SparkSession, source: str, out: str) -> None:
     )
     rows = comments.groupBy("batch", "date", "kind", "name").agg(F.count(F.lit(1)).alias("comments"))
     rows = rows.withColumn("year", F.year("date"))
-    tables.write_batches(rows, out, ["year"], owned=CM.file_months(spark, source))
+    tables.write_batches(rows, out, ["year"], owned=_owned(spark, source, period))
 
 
 def read_daily_statistics(spark: SparkSession, path: str) -> DataFrame:
@@ -173,6 +196,12 @@ def read_daily_statistics(spark: SparkSession, path: str) -> DataFrame:
     return A.daily_rows(stats)
 
 
+def daily_documents(spark: SparkSession, statistics: str, out: str) -> None:
+    """The series of each daily number as one JSON document: ``out``/metric=<name>, a line each."""
+    documents = A.export_series_json(A.stats_series(read_daily_statistics(spark, statistics)))
+    documents.withColumnRenamed("document", "value").write.mode("overwrite").partitionBy("metric").text(out)
+
+
 def author_graph(
     spark: SparkSession,
     source: str,
@@ -182,19 +211,23 @@ def author_graph(
     hub_degree: int = C.HUB_DEGREE,
     rounds: int = 5,
     classes: str = "modularity",
+    period: str | None = None,
 ) -> None:
     """Per year: ``out``/adjacency, the published graph in ``out``/edges and ``out``/nodes with
     the class of every node, ``out``/modularity.
 
     ``classes`` are found by modularity, or by "propagation" in ``rounds`` and until labels settle.
 
-    A year is computed from all its files: thresholds hold for the year, not for a month.
+    A year is computed from all its files: thresholds hold for the year, not for a month, and a period
+    is a year.
     """
+    if period and "-" in period:
+        raise ValueError("the graph of a year needs all its months")
     also = ["year"]
-    comments = _comments(spark, source, ACTIVITY_FIELDS).withColumn("year", F.year("month"))
+    comments = _comments(spark, source, ACTIVITY_FIELDS, period).withColumn("year", F.year("month"))
     members = A.active_memberships(A.author_activity(comments, *also), comments_more_than)
     edges = cut_lineage(G.overlap_edges(cut_lineage(members), authors_more_than, also))
-    years = sorted({m // 100 for m in CM.file_months(spark, source)})
+    years = sorted({m // 100 for m in _owned(spark, source, period)})
 
     def write(rows: DataFrame, name: str, sort_by=()) -> None:
         tables.write_partitioned(rows, f"{out}/{name}", also, sort_by)
@@ -214,9 +247,9 @@ def author_graph(
 
 
 def graph_file(spark: SparkSession, graph: str, out: str, year: int = 2015) -> None:
-    """One year's published graph as XML files."""
-    edges = spark.read.parquet(f"{graph}/edges").where(F.col("year") == year)
-    gexf.write_gexf(edges.select("src", "dst", "weight"), out)
+    """One year's published graph with its classes, as one document in ordered parts."""
+    edges, labels = (spark.read.parquet(f"{graph}/{n}").where(F.col("year") == year) for n in ("edges", "nodes"))
+    gexf.write_document(edges.select("src", "dst", "weight"), labels.select("node", "community"), out)
 
 
 def search_index(spark: SparkSession, source: str, out: str) -> None:
@@ -242,3 +275,23 @@ def page_backlinks(spark: SparkSession, source: str, out: str) -> None:
     once = {"availableNow": True}
     SP.write_backlinks(pages, f"{out}/backlinks", f"{out}/progress/backlinks", once).awaitTermination()
     SP.write_index(pages, f"{out}/index", f"{out}/progress/index", once).awaitTermination()
+
+
+def message_table(spark: SparkSession, source: str, out: str, batch: int, buckets: int = 64) -> None:
+    """Messages (JSON lines) of one delivery, by number, into a table with one row per message id; the row
+    of the latest delivery counts, and a repeated delivery changes nothing."""
+    rows = M.project_tweet(M.scan_tweets(spark, source)).withColumn("batch", F.lit(batch).cast("bigint"))
+    latest = lambda found: tables.last_rows(found, ["id"])
+    versions.merge_buckets(rows.where(F.col("id").isNotNull()), out, "id", latest, buckets, ("messages", batch))
+
+
+def read_messages(spark: SparkSession, path: str) -> DataFrame:
+    return versions.read(spark, path).drop("batch")
+
+
+def follower_walk(spark: SparkSession, source: str, out: str, account: int, hops: int = 2, influential: bool = False) -> None:
+    """Accounts within so many hops of followers of an account (JSON lines of follower lists), with their
+    hop; only influential ones if asked for."""
+    edges = cut_lineage(M.explode_followers(M.scan_followers(spark, source)))
+    walk = FW.influential_followers if influential else FW.k_hop_followers
+    walk(edges, account, hops).write.mode("overwrite").parquet(out)

@@ -109,7 +109,9 @@ def test_graph_job(spark):
     ]
     nodes = spark.read.parquet(f"{out}/nodes").where("year = 2015").collect()
     assert {r.node for r in nodes} == {"Tea", "coffee"}
-    jobs.graph_file(spark, out, fresh_path(spark, "x"), 2015)
+    document = fresh_path(spark, "x")
+    jobs.graph_file(spark, out, document, 2015)
+    assert "modularity_class" in "".join(r.value for r in spark.read.text(document).collect())
 
 
 def test_search_job(spark):
@@ -135,3 +137,46 @@ def test_command_line():
     assert parser().parse_args(["monthly-phrases", "--source", "a", "--out", "b", "--first", "7"]).first == 7
     options = parser().parse_args(["author-graph", "--source", "a", "--out", "b", "--rounds", "3"])
     assert (options.job, options.rounds, options.hub_degree) == ("author-graph", 3, 100)
+
+
+def test_jobs_of_a_period_replace_only_its_months(spark):
+    source, out = corpus(spark), fresh_path(spark, "period")
+    jobs.daily_statistics(spark, source, out)
+    jobs.daily_statistics(spark, source, out, period="2015-01")
+    assert jobs.read_daily_statistics(spark, out).agg(F.sum("comments")).first()[0] == 2400
+    only = fresh_path(spark, "period")
+    jobs.daily_statistics(spark, source, only, period="2014")
+    assert {r.year for r in jobs.read_daily_statistics(spark, only).select("year").distinct().collect()} == {2014}
+    monthly = fresh_path(spark, "period")
+    jobs.monthly_phrases(spark, source, monthly, period="2015-01")
+    assert {str(r.month) for r in jobs.read_monthly_phrases(spark, monthly).collect()} == {"2015-01-01"}
+    with pytest.raises(ValueError):
+        jobs.author_graph(spark, source, fresh_path(spark, "period"), period="2015-01")
+
+
+def test_daily_documents(spark):
+    import json
+
+    stats, out = fresh_path(spark, "s"), fresh_path(spark, "json")
+    jobs.daily_statistics(spark, corpus(spark), stats)
+    for _ in range(2):
+        jobs.daily_documents(spark, stats, out)
+    documents = {r.metric: json.loads(r.value) for r in spark.read.text(out).collect()}
+    assert set(documents) == {"comments", "authors", "communities"}
+    assert sum(v for _, v in documents["comments"]) == 2400
+    assert [t for t, _ in documents["comments"]] == sorted(t for t, _ in documents["comments"])
+
+
+def test_message_and_follower_jobs(spark):
+    first, second, out = (fresh_path(spark, n) for n in ("tweets", "tweets", "messages"))
+    spark.createDataFrame([("1", "old"), ("2", "two"), (None, "no id")], "id_str string, text string").write.json(first)
+    spark.createDataFrame([("1", "new")], "id_str string, text string").write.json(second)
+    for batch, source in ((0, first), (1, second), (1, second), (0, first)):
+        jobs.message_table(spark, source, out, batch)
+    assert {r.id: r.text for r in jobs.read_messages(spark, out).collect()} == {"1": "new", "2": "two"}
+    lists, walk = fresh_path(spark, "followers"), fresh_path(spark, "walk")
+    spark.createDataFrame([(1, [2, 3]), (2, [4]), (4, [5])], "parent bigint, follower array<bigint>").write.json(lists)
+    jobs.follower_walk(spark, lists, walk, 1, 2)
+    assert {r.account: r.hop for r in spark.read.parquet(walk).collect()} == {1: 0, 2: 1, 3: 1, 4: 2}
+    options = vars(parser().parse_args(["follower-walk", "--source", "a", "--out", "b", "--account", "1", "--influential", "yes"]))
+    assert options["influential"] is True and options["account"] == 1 and options["hops"] == 2

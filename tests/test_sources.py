@@ -121,3 +121,26 @@ def test_graph_file(spark, tmp_path):
     assert [tuple(r) for r in nodes] == [("a", "A&B", 2), ("b", "b", None)]
     edges = gexf.scan_gexf_edges(spark, str(path)).orderBy("id").collect()
     assert [tuple(r) for r in edges] == [("0", "a", "b", 6), ("1", "b", "c", 1)]
+
+
+def test_a_graph_document_comes_back_and_is_xml(spark, tmp_path):
+    from xml.etree import ElementTree
+
+    rows = [("a&b", 'c"<d>', 7), ("a&b", "e f", 1), *((f"n{i:03}", f"n{i + 1:03}", i + 1) for i in range(300))]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight long").repartition(3)
+    nodes = sorted({n for r in rows for n in r[:2]})
+    labels = spark.createDataFrame([(n, nodes[0] if i % 2 else "n000") for i, n in enumerate(nodes) if n != "e f"], "node string, community string")
+    folder, joined = tmp_path / "parts", tmp_path / "graph.gexf"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    gexf.write_document(edges, labels, str(folder))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(folder.glob("part-*"))
+    joined.write_bytes(b"".join(p.read_bytes() for p in parts))
+    tree = ElementTree.parse(joined).getroot()
+    space = {"g": "http://www.gexf.net/1.3"}
+    assert [n.get("id") for n in tree.iterfind("g:graph/g:nodes/g:node", space)] == nodes
+    assert len(parts) > 1 and len(list(tree.iterfind("g:graph/g:edges/g:edge", space))) == len(rows)
+    back = gexf.scan_gexf_edges(spark, str(joined)).select("src", "dst", "weight")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    classes = {r.node: r.community for r in gexf.scan_gexf_classes(spark, str(joined)).collect()}
+    assert classes == {n: None for n in nodes} | {r.node: r.community for r in labels.collect()}

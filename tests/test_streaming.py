@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from chatterscope.functions import pages as P
 from chatterscope.session import fresh_path
-from chatterscope.sources import tables
+from chatterscope.sources import tables, versions
 from chatterscope.streaming import messages as SM
 from chatterscope.streaming import pages as SP
 
@@ -57,9 +57,12 @@ def test_backlinks_survive_a_restart(spark):
 def test_a_replayed_batch_changes_nothing(spark):
     path = fresh_path(spark, "links")
     batch = SP.parse_filter(spark.createDataFrame([(v,) for v in FIRST], "value string"))
-    for _ in range(2):
-        tables.write_batches(SP.page_rows(batch).withColumn("batch", F.lit(0)), f"{path}/pages")
-        tables.write_batches(SP.link_rows(batch).withColumn("batch", F.lit(0)), f"{path}/links")
+    number = F.lit(0).cast("bigint").alias("batch")
+    pages = SP.page_rows(batch).select("title", "id", "linksto", number)
+    links = SP.link_rows(batch).select("target", "title")
+    for mark in (None, ("stream", 0), ("stream", 0)):  # twice merged, once known to be there
+        versions.merge_buckets(pages, f"{path}/pages", "title", SP.last_pages, 8, mark)
+        versions.merge_buckets(links, f"{path}/links", "target", lambda rows: rows.distinct(), 8, mark)
     assert backlink_state(spark, path)["gamma"] == (False, None, ["alpha"])
     assert len(backlink_state(spark, path)) == 3
 
