@@ -11,8 +11,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_PRIME = np.uint64((1 << 61) - 1)
+#: A fixed number drawn at random.
+_BASE = 1_743_018_276_593_820_411
+_PART = 1 << 14
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 #: The bytes 0x20 and 0x09 to 0x0D.
@@ -65,27 +69,101 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^64 to equal ones below 2^61 + 8, modulo 2^61 - 1."""
+    return (x & _PRIME) + (x >> np.uint64(61))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    x -= _PRIME * (x >= _PRIME)
+    return x
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2^61 - 1 of numbers below it; in parts that stay in the cache."""
+    low, half, tail = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64((1 << 29) - 1)
+    out = np.empty(len(a), np.uint64)
+    small = a.dtype.itemsize <= 4
+    for k in range(0, len(a), _PART):
+        x, y = a[k : k + _PART].astype(np.uint64, copy=False), b[k : k + _PART]
+        y1, y0 = y >> half, y & low
+        if small:  # below 2^32
+            middle, top = x * y1, _fold(x * y0)
+        else:
+            x1, x0 = x >> half, x & low
+            middle, top = x1 * y0 + x0 * y1, _fold(x0 * y0) + ((x1 * y1) << np.uint64(3))
+        out[k : k + _PART] = _reduced(top + (middle >> np.uint64(29)) + ((middle & tail) << half))
+    return out
+
+
 def _power_table(n: int) -> list[np.ndarray]:
-    """Powers 0 to n - 1 of an odd number, and of its inverse, modulo 2 to the 64."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        inverse = np.uint64(pow(int(_STEP), -1, 1 << 64))
-        for k, base in enumerate((_STEP, inverse)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.multiply.accumulate(table)
+    """Powers 0 to n - 1 of a fixed number, and of its inverse, modulo 2^61 - 1."""
+    while len(_powers[0]) < n:
+        size = len(_powers[0])
+        for k, base in enumerate((_BASE, pow(_BASE, -1, int(_PRIME)))):
+            step = np.full(size, pow(base, size, int(_PRIME)), np.uint64)
+            _powers[k] = np.concatenate((_powers[k], times(_powers[k], step)))
     return _powers
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for every span; equal spans have equal hashes."""
+    """A 64-bit hash of values[start:end] for every span; equal spans have equal hashes.
+
+    A polynomial modulo the prime 2^61 - 1: two spans of at most n values, chosen without regard to the
+    base, meet with a probability of n / 2^61.  (Modulo a power of two there are short texts that meet for every
+    base.)  Where more depends on it than that, see distinct_spans.
+    """
     power, inverse = _power_table(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[: len(values)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inverse[starts]
+    # no value counts as nothing
+    if values.dtype.itemsize < 8:
+        v = values.astype(np.uint32) + np.uint32(1)
+    else:
+        v = _reduced(_reduced(values.view(np.uint64)) + np.uint64(1))
+    terms = times(v, power[: len(v)])
+    sums = np.zeros((2, len(v) + 1), np.uint64)  # of the lower 30 and the upper 31 bits
+    np.cumsum(terms & np.uint64((1 << 30) - 1), out=sums[0, 1:])
+    np.cumsum(terms >> np.uint64(30), out=sums[1, 1:])
+    low, high = sums[0, ends] - sums[0, starts], _reduced(sums[1, ends] - sums[1, starts])
+    high = ((high << np.uint64(30)) & _PRIME) + (high >> np.uint64(31))
+    h = times(_reduced(low + high), inverse[starts])
     return mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
 
 
+def distinct_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct spans in order, a span of each, and every span's place in them.
+
+    Every span is compared with the one that stands for it; those that differ in spite of equal hashes
+    come after the others, each text once, with a hash that says nothing.
+    """
+    distinct, chosen, which = np.unique(span_hashes(values, starts, ends), return_index=True, return_inverse=True)
+    wrong = differing(values, starts, ends, values, starts[chosen[which]], ends[chosen[which]])
+    if wrong.any():
+        seen: dict[bytes, int] = {}
+        more = []
+        for i in np.flatnonzero(wrong).tolist():
+            text = values[starts[i] : ends[i]].tobytes()
+            if text not in seen:
+                seen[text] = len(distinct) + len(more)
+                more.append(i)
+            which[i] = seen[text]
+        distinct = np.concatenate((distinct, distinct[:1].repeat(len(more))))
+        chosen = np.concatenate((chosen, more))
+    return distinct, chosen, which
+
+
+def differing(a: np.ndarray, a_starts: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+    """Which spans of a are not equal to the spans of b beside them."""
+    sizes = a_ends - a_starts
+    out = sizes != b_ends - b_starts
+    sizes = np.where(out, 0, sizes)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    place = np.arange(at[-1])
+    unequal = np.flatnonzero(a[place + np.repeat(a_starts - at[:-1], sizes)] != b[place + np.repeat(b_starts - at[:-1], sizes)])
+    out[np.searchsorted(at, unequal, "right") - 1] = True
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the n + 1 offsets of the texts in the words."""
     if not len(data):

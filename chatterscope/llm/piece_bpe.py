@@ -238,9 +238,7 @@ def encode(model: PieceModel, data: np.ndarray, offsets: np.ndarray) -> tuple[np
     points, at = model.points(data, offsets)
     cuts = model.cuts(points, at)
     ends = np.append(cuts[1:], len(points))
-    _, first, which = np.unique(
-        arrays.span_hashes(points, cuts, ends), return_index=True, return_inverse=True
-    )
+    _, first, which = arrays.distinct_spans(points, cuts, ends)
     chars, segments = gather(points, np.append(cuts, len(points)), first) if len(cuts) else (points, np.zeros(1, np.int64))
     ids, segments = _ids(model, *merge_rounds(model, model.of_char[chars], segments))
     ids, ends = gather(ids, segments, which)

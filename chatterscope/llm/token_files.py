@@ -92,26 +92,38 @@ def _library_ids(tokenizer, texts: list[str]) -> np.ndarray:
 
 
 class Seen:
-    """Distinct stretches by hash and their ids; emptied when there are MOST_SEEN, or many ids."""
+    """Distinct stretches by hash, with their bytes and ids; emptied when there are MOST_SEEN, or many ids."""
 
     def __init__(self):
-        self.hashes, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.hashes = np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.first, self.last = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.bytes = np.zeros(0, np.uint32), np.zeros(0, np.uint8)
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Places of sorted hashes, -1 for new ones."""
+    def find(self, h: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of stretches, -1 for those not there; a stretch with the hash of another is not there."""
         if not len(self.hashes):
             return np.full(len(h), -1)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, -1)
-
-    def add(self, h: np.ndarray, ids: np.ndarray, edges: np.ndarray) -> None:
+        there = np.flatnonzero(self.hashes[at] == h)
+        own = at[there]
+        differ = arrays.differing(data, starts[there], ends[there], self.bytes, self.first[own], self.last[own])
+        out = np.full(len(h), -1)
+        out[there[~differ]] = own[~differ]
+        return out
+
+    def add(self, h: np.ndarray, ids: np.ndarray, edges: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        sizes = ends - starts
+        at = np.concatenate(([0], np.cumsum(sizes)))
         hashes = np.concatenate((self.hashes, h))
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
         self.starts = np.concatenate((self.starts, edges[:-1] + len(self.ids)))[order]
         self.sizes = np.concatenate((self.sizes, np.diff(edges)))[order]
+        self.first = np.concatenate((self.first, at[:-1] + len(self.bytes)))[order]
+        self.last = np.concatenate((self.last, at[1:] + len(self.bytes)))[order]
         self.ids = np.concatenate((self.ids, ids))
+        self.bytes = np.concatenate((self.bytes, data[np.arange(at[-1]) + np.repeat(starts - at[:-1], sizes)]))
 
 
 @cache
@@ -124,10 +136,11 @@ def encode(path: str, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tup
     tokenizer, lengths, seen = load(path), id_bytes(path), seen_of(path)
     first, odd = cuts(data, offsets)
     ends = np.append(first[1:], len(data))
-    distinct, chosen, which = np.unique(arrays.span_hashes(data, first, ends), return_index=True, return_inverse=True)
-    if len(seen.hashes) + len(distinct) > MOST_SEEN or len(seen.ids) > 6 * MOST_SEEN:
+    distinct, chosen, which = arrays.distinct_spans(data, first, ends)
+    if len(seen.hashes) + len(distinct) > MOST_SEEN or len(seen.ids) > 6 * MOST_SEEN or len(seen.bytes) > 20 * MOST_SEEN:
         seen.__init__()
-    new = seen.find(distinct) < 0
+    held = seen.find(distinct, data, first[chosen], ends[chosen])
+    new = held < 0
     a, b = first[chosen[new]], ends[chosen[new]]
     # stretches from white space to another character can follow each other in one call: none of their
     # places is lost, so they are told apart by the bytes of the ids
@@ -145,10 +158,16 @@ def encode(path: str, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tup
         raise ValueError("ids do not end where their texts do")
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
-    seen.add(distinct[new], *gather(flat, edges, back))
-    place = seen.find(distinct)[which]
-    at = np.concatenate(([0], np.cumsum(seen.sizes[place])))
-    ids = seen.ids[np.arange(at[-1]) + np.repeat(seen.starts[place] - at[:-1], seen.sizes[place])]
+    made, edges = gather(flat, edges, back)
+    # ids of the distinct stretches: those remembered, then the new ones
+    pool = np.concatenate((seen.ids, made))
+    starts, sizes = np.empty(len(chosen), np.int64), np.empty(len(chosen), np.int64)
+    starts[~new], sizes[~new] = seen.starts[held[~new]], seen.sizes[held[~new]]
+    starts[new], sizes[new] = edges[:-1] + len(seen.ids), np.diff(edges)
+    seen.add(distinct[new], made, edges, data, first[chosen[new]], ends[chosen[new]])
+    starts, sizes = starts[which], sizes[which]
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    ids = pool[np.arange(at[-1]) + np.repeat(starts - at[:-1], sizes)]
     at = at[np.searchsorted(first, offsets)]
     n = len(offsets) - 1
     out = np.full(len(ids) + n, end_id, np.uint32)
