@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chatterscope import constants as C
 from chatterscope.functions import text as T
+from chatterscope.session import cut_lineage
 
 
 def _listed(comments: DataFrame, names: DataFrame, how: str) -> DataFrame:
@@ -55,3 +56,33 @@ def filter_track_terms(messages: DataFrame, terms: Sequence[str], lang: str = "e
         & (F.col("lang") == lang)
         & T.contains_any(T.tokenize(F.lower("text")), [w for w in wanted if w])
     )
+
+
+def term_table(terms: DataFrame) -> DataFrame:
+    """term, words, key of tracked terms (column term): the words of each in lower case, and the one that
+    is in the fewest terms; terms without words are left out."""
+    split = F.filter(F.split(F.lower("term"), r"\s+"), lambda w: w != "")
+    own = terms.select("term", F.array_distinct(split).alias("words")).where(F.size("words") > 0).distinct()
+    each = own.select("term", "words", F.explode("words").alias("word"))
+    uses = each.groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
+    key = F.min_by("word", F.struct("uses", "word")).alias("key")
+    return each.join(uses, "word").groupBy("term", "words").agg(key)
+
+
+def filter_many_terms(messages: DataFrame, terms: DataFrame, lang: str = "en") -> DataFrame:
+    """What filter_track_terms keeps, for terms in a table (column term) of any size.
+
+    Distinct tokens meet the terms by key in a join, which Spark broadcasts while the terms are small;
+    only terms found by their key have their other words looked for.  Messages are written once.
+    """
+    own = messages.where(F.col("text").isNotNull() & (F.col("lang") == lang))
+    own = cut_lineage(own.withColumn("__row", F.monotonically_increasing_id()))
+    found = F.array_distinct(T.tokenize(F.lower("text")))
+    tokens = own.select("__row", F.explode(found).alias("token"))
+    table = cut_lineage(term_table(terms)).withColumnRenamed("key", "token")
+    hits = tokens.join(table, "token").select("__row", "term", "words", F.size("words").alias("n"))
+    others = hits.where("n > 1").select("__row", "term", "n", F.explode("words").alias("token"))
+    there = others.join(tokens, ["__row", "token"], "left_semi")
+    whole = there.groupBy("__row", "term", "n").agg(F.count(F.lit(1)).alias("words")).where("words = n")
+    rows = hits.where("n = 1").select("__row").unionByName(whole.select("__row")).distinct()
+    return own.join(rows, "__row", "left_semi").drop("__row")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatterscope.functions import text as T
 from chatterscope.functions import time as TM
 from chatterscope.operators import filters
 from chatterscope.plans import fixtures as X
@@ -149,3 +150,20 @@ WHERE lang = 'en' AND list_has_any(toks, [{', '.join(X.sql_text(t) for t in TRAC
 def filter_track_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = X.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return filters.filter_track_terms(messages, TRACKED)
+
+
+@query(
+    f"""WITH t AS (SELECT item_id, regexp_extract_all(lower(text), {X.PLAIN_TOKEN_SQL}) AS toks FROM benchmark),
+terms AS (SELECT DISTINCT list_distinct([toks[1], toks[3]]) AS words FROM t WHERE len(toks) > 2 AND trim(toks[1]) <> '' AND trim(toks[3]) <> ''),
+m AS (SELECT doc_id, lang, text, regexp_extract_all(lower(text), {X.PLAIN_TOKEN_SQL}) AS toks FROM documents WHERE lang = 'en')
+SELECT doc_id, lang, text FROM m WHERE EXISTS (SELECT 1 FROM terms WHERE list_has_all(m.toks, terms.words))"""
+)
+def filter_many_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the first and third token of a benchmark item in any place."""
+    toks = T.tokenize(F.lower("text")).alias("toks")
+    items = X.table(spark, sf_dir, "benchmark").select(toks).where(F.size("toks") > 2)
+    words = items.select(F.col("toks")[0].alias("a"), F.col("toks")[2].alias("b"))
+    words = words.where((F.trim("a") != "") & (F.trim("b") != ""))
+    terms = words.select(F.concat_ws(" ", "a", "b").alias("term"))
+    messages = X.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return filters.filter_many_terms(messages, terms)

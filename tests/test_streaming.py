@@ -132,3 +132,24 @@ def test_links(spark):
     assert df.select(P.extract_links(F.col("t"))).first()[0] == ["main page", "odd", "a:file:b", ""]
     strict = df.select(P.extract_links(F.col("t"), strict_reference=True)).first()[0]
     assert strict == ["Main Page", "Template:x", "odd", "a:file:b", ""]
+
+
+def test_a_hundred_thousand_terms_in_batch_and_stream(spark):
+    from chatterscope.operators import filters
+
+    words = [f"w{i}" for i in range(3000)]
+    pairs = [f"{words[i % 3000]} {words[(i * 7 + i // 3000) % 3000]}" for i in range(100_000)]
+    terms = spark.createDataFrame([(t,) for t in [*pairs, "Lone", "  ", "red green blue"]], "term string")
+    texts = ["W5 and w35", "w5 w36 apart", "a lone wolf", "green or blue, red", "green blue", None, "w1 w1"]
+    rows = [(str(i), t, "en") for i, t in enumerate(texts)] + [("x", "lone", "de")]
+    messages = spark.createDataFrame(rows, "id_str string, text string, lang string")
+    wanted = [set(t.lower().split()) for t in [*pairs, "lone", "red green blue"]]
+    brute = {str(i) for i, t in enumerate(texts) if t and any(w <= set(t.lower().replace(",", " ").split()) for w in wanted)}
+    assert {r.id_str for r in filters.filter_many_terms(messages, terms).collect()} == brute and "0" in brute
+    topic, out, progress = (fresh_path(spark, n) for n in ("topic", "tracked", "progress"))
+    for part in (messages.where("id_str < '3'"), messages.where("id_str >= '3'")):
+        part.write.mode("append").json(topic)
+        stream = SM.stream_messages(spark, topic)
+        SM.write_tracked(stream, terms, out, progress, DRAIN).awaitTermination()
+    assert {r.id_str for r in versions.read(spark, out).collect()} == brute
+    assert filters.filter_many_terms(messages, terms.limit(0)).count() == 0
