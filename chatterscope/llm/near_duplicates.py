@@ -10,14 +10,17 @@
 3. Improved consistent weighted sampling draws BANDS * ROWS samples (shingle, quantized weight) of each
    text; two texts draw the same sample with a probability equal to their weighted Jaccard similarity.
    ROWS samples make the key of a band.
-4. Texts with equal keys are candidates.  They are compared in rounds: in each band and key, all texts
-   are compared with one of them (another one each round) as long as that joins classes; last, every
-   pair of texts of one key that lie in different classes is compared.  So a group of thousands of near
-   copies costs a comparison per text, not one per pair, and no link that would join two classes is
-   lost.  Pairs whose samples agree in less than LEAST_AGREEMENT of the places, three standard errors below
-   0.8, are left out before texts are fetched.
+4. Texts with equal keys are candidates.  First, in each band and key, all texts are compared with one of
+   them (STARS times, with another one each time), which joins most near copies at a comparison per text.
+   Then the texts of a key that still lie in different classes are dealt to blocks, and each two blocks
+   are compared in one task: pairs whose samples agree in less than LEAST_AGREEMENT of the places (a
+   pair of similarity 0.8 does with a probability of 10^-7) are left out, pairs that links found there
+   already join are skipped, and the others are compared exactly.  What leaves the task are links that
+   join something, fewer than texts in the two blocks, so a group of texts that are similar but not
+   similar enough is no more rows than others.  No link that would join two classes is lost.
 5. A pair is a link if its exact weighted Jaccard similarity is SIMILARITY or more.  Classes are the
-   connected components, labelled in joins with pointer jumping; the class id is the smallest doc_id.
+   connected components, labelled in joins with pointer jumping over the links between classes found so
+   far; the class id is the smallest doc_id.
 
 Defined results: a text without words (null, empty) is a class of its own.  Rows equal in doc_id and text
 are copies of one document.  Of rows with equal doc_id the smaller hash of the text is first; a null
@@ -42,9 +45,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 14, 4
 SLOT_BITS = 20
 IDF_FLOOR = 0.75
-STARS = 3
-LEAST_AGREEMENT = 0.64
-BLOCK = 128
+STARS = 1
+LEAST_AGREEMENT = 0.5
+#: Texts, and bytes of text, of a block; a longer text is a block of its own.
+BLOCK, BLOCK_BYTES = 128, 1 << 20
 _SLOTS = 1 << SLOT_BITS
 _PART = 1 << 12  # slots in a row of the table of frequencies
 _DRAWS = 1 << 16
@@ -195,17 +199,36 @@ def agreeing(pairs: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
     return pairs.select("a", "b", "sample_a", "sample_b").mapInArrow(compared, "a bigint, b bigint")
 
 
-def across(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
-    """Pairs (a, b) of members (band, hash, key, label, sample, bands) of one band and key that have
-    different labels and agree in enough samples; each pair in its first common band.
+def _weighed(texts: pa.Array, weight_of: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Shingles in order and their weights, of every text."""
+    out = []
+    for _, data, offsets in arrays.blocks(texts):
+        h, count, at = shingles(data, offsets)
+        w = count * weight_of[slot(h)].astype(np.float64)
+        out += [(h[a:b], w[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    return out
 
-    Members are dealt to blocks of about BLOCK, and each two blocks of a band and key are a row, compared
-    in place: what is sent on are the pairs that agree, not all of them.
-    """
-    sizes = members.groupBy("band", "hash").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+
+def _similar(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], similarity: float) -> bool:
+    """Whether the weighted Jaccard similarity of two texts is enough."""
+    (hx, wx), (hy, wy) = x, y
+    both = wx.sum() + wy.sum()
+    if not len(hx) or not len(hy) or (1 + similarity) * min(wx.sum(), wy.sum()) < (similarity - 1e-9) * both:
+        return False
+    at = np.minimum(np.searchsorted(hx, hy), len(hx) - 1)
+    hit = hx[at] == hy
+    common = np.minimum(wx[at[hit]], wy[hit]).sum()
+    return bool(common >= (similarity - 1e-9) * (both - common))
+
+
+def across(members: DataFrame, idf_of, similarity: float = SIMILARITY, least: float = LEAST_AGREEMENT) -> DataFrame:
+    """Links (a, b) between members (band, hash, key, label, sample, bands, text) of one band and key that have
+    different labels: of each two blocks of members as many as join all that is similar there."""
+    size = F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("text")) / BLOCK_BYTES)
+    sizes = members.groupBy("band", "hash").agg(F.greatest(F.ceil(size), F.lit(1)).cast("int").alias("n_blocks"))
     dealt = members.join(sizes, ["band", "hash"]).withColumn("block", F.pmod(F.xxhash64("key"), "n_blocks").cast("int"))
     blocks = dealt.groupBy("band", "hash", "n_blocks", "block").agg(
-        F.collect_list(F.struct("key", "label", "sample", "bands")).alias("rows")
+        F.collect_list(F.struct("key", "label", "sample", "bands", "text")).alias("rows")
     )
     # each row goes to the pairs of its block with itself and with later and earlier ones
     sides = blocks.select(
@@ -214,26 +237,47 @@ def across(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
     left = sides.filter("block = low").select("band", "hash", "low", "high", F.col("rows").alias("x"))
     right = sides.filter("block = high").select("band", "hash", "low", "high", F.col("rows").alias("y"))
 
+    def linked(band: int, x: pa.Array, y: pa.Array, weight_of: np.ndarray) -> pa.RecordBatch:
+        agreement = _agreement(x.field("sample").to_pylist(), y.field("sample").to_pylist())
+        i, j = np.nonzero(agreement >= least)
+        keys = [side.field("key").to_numpy() for side in (x, y)]
+        labels = [side.field("label").to_numpy() for side in (x, y)]
+        hashes = [side.field("bands").flatten().to_numpy().reshape(len(side), -1) for side in (x, y)]
+        # each pair in its first common band
+        first = (hashes[0][i] == hashes[1][j]).argmax(axis=1) == band
+        take = first & (labels[0][i] != labels[1][j])
+        i, j = i[take], j[take]
+        order = np.argsort(-agreement[i, j], kind="stable")
+        used = np.unique(i), np.unique(j)
+        weighed = [
+            dict(zip(at.tolist(), _weighed(side.field("text").take(pa.array(at)).cast(pa.large_string()), weight_of), strict=True))
+            for at, side in zip(used, (x, y), strict=True)
+        ]
+        parent: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while (up := parent.get(label, label)) != label:
+                parent[label] = parent.get(up, up)
+                label = up
+            return label
+
+        links = []
+        for p, q in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            a, b = root(int(labels[0][p])), root(int(labels[1][q]))
+            if a != b and _similar(weighed[0][p], weighed[1][q], similarity):
+                parent[max(a, b)] = min(a, b)
+                links.append((int(keys[0][p]), int(keys[1][q])))
+        columns = zip(*links, strict=True) if links else ([], [])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                x, y = batch.column("x")[k].values, batch.column("y")[k].values
-                band = batch.column("band")[k].as_py()
-                near = _agreement(x.field("sample").to_pylist(), y.field("sample").to_pylist()) >= least
-                i, j = np.nonzero(near)
-                keys = [side.field("key").to_numpy() for side in (x, y)]
-                labels = [side.field("label").to_numpy() for side in (x, y)]
-                hashes = [side.field("bands").flatten().to_numpy().reshape(len(side), -1) for side in (x, y)]
-                first = (hashes[0][i] == hashes[1][j]).argmax(axis=1) == band
-                take = first & (labels[0][i] != labels[1][j])
-                if batch.column("low")[k] == batch.column("high")[k]:  # both orders are there
-                    take &= keys[0][i] < keys[1][j]
-                i, j = i[take], j[take]
-                pair = np.sort(np.stack([keys[0][i], keys[1][j]]), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+            bands = batch.column("band").to_pylist()
+            for k, band in enumerate(bands):
+                yield linked(band, batch.column("x")[k].values, batch.column("y")[k].values, idf_of.value)
 
     joined = left.join(right, ["band", "hash", "low", "high"])
-    return joined.select("band", "low", "high", "x", "y").mapInArrow(compared, "a bigint, b bigint")
+    return joined.select("band", "x", "y").mapInArrow(compared, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf_of, similarity: float = SIMILARITY) -> DataFrame:
@@ -242,22 +286,11 @@ def verified(pairs: DataFrame, texts: DataFrame, idf_of, similarity: float = SIM
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight_of = idf_of.value
         for batch in batches:
-            both = pa.chunked_array([arrays.column(batch, "text_a"), arrays.column(batch, "text_b")]).combine_chunks()
             n = batch.num_rows
-            # copies of one text on side a are hashed once
-            parts: list = [None] * (2 * n)
-            for row, data, offsets in arrays.blocks(both):
-                h, count, at = shingles(data, offsets)
-                w = count * weight_of[slot(h)].astype(np.float64)
-                for i in range(len(at) - 1):
-                    parts[row + i] = (h[at[i] : at[i + 1]], w[at[i] : at[i + 1]])
-            keep = np.zeros(n, bool)
-            for i in range(n):
-                (hx, wx), (hy, wy) = parts[i], parts[n + i]
-                _, ix, iy = np.intersect1d(hx, hy, assume_unique=True, return_indices=True)
-                common = np.minimum(wx[ix], wy[iy]).sum()
-                keep[i] = common >= (similarity - 1e-9) * (wx.sum() + wy.sum() - common)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            both = pa.chunked_array([arrays.column(batch, "text_a"), arrays.column(batch, "text_b")]).combine_chunks()
+            parts = _weighed(both, weight_of)
+            keep = [_similar(parts[i], parts[n + i], similarity) for i in range(n)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compared, "a bigint, b bigint")
@@ -282,9 +315,23 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(key, label) after more links; only links between different labels are followed."""
+    if labels is None:
+        return cut_lineage(components(links))
+    for end in ("a", "b"):
+        own = labels.select(F.col("key").alias(end), F.col("label").alias(f"{end}_label"))
+        links = links.join(own, end, "left").withColumn(end, F.coalesce(f"{end}_label", end)).drop(f"{end}_label")
+    more = cut_lineage(components(cut_lineage(links.filter("a <> b").distinct())))
+    onward = more.select(F.col("key").alias("label"), F.col("label").alias("next"))
+    old = labels.join(onward, "label", "left").select("key", F.coalesce("next", "label").alias("label"))
+    new = more.join(labels.select("key"), "key", "left_anti").select("key", "label")
+    return cut_lineage(old.unionByName(new))
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, stars: int = STARS) -> DataFrame:
-    """(doc_id, key, class_id, class_key, n_copies, n_links): the class of every row, the rows with the
-    same words, and the verified links of the text that stands for them.
+    """(doc_id, key, class_id, class_key, n_copies): the class of every row, and the number of rows with the same
+    words.
 
     key is the hash of doc_id and text, class_key that of the first row of the class.
     """
@@ -307,14 +354,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     texts = cut_lineage(texts.dropDuplicates(["key"]).select("key", "text"))
     samples_of = lambda c: signed.select(F.col("key").alias(c), F.col("sample").alias(f"sample_{c}"))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        near = pairs.distinct().join(samples_of("a"), "a").join(samples_of("b"), "b")
-        return cut_lineage(verified(cut_lineage(agreeing(near)), texts, idf_of, similarity))
-
-    links, labels, tested = None, None, None
+    labels = None
     for turn in range(stars + 1):
         own = members if labels is None else members.join(labels, "key", "left")
         own = own.withColumn("label", F.col("key") if labels is None else F.coalesce("label", "key"))
+        own = own if labels is None else cut_lineage(own)
         groups = own.groupBy("band", "hash").agg(
             F.min_by(F.struct("key", "label"), F.xxhash64("key", F.lit(turn))).alias("centre"),
             (F.min("label") < F.max("label")).alias("open"),
@@ -323,36 +367,20 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         if turn < stars:
             pairs = own.join(groups, ["band", "hash"]).filter("label <> centre.label")
             pairs = pairs.select(F.least("key", "centre.key").alias("a"), F.greatest("key", "centre.key").alias("b"))
-            pairs = pairs.distinct()
+            pairs = pairs.distinct().join(samples_of("a"), "a").join(samples_of("b"), "b")
+            found = cut_lineage(verified(cut_lineage(agreeing(pairs)), texts, idf_of, similarity))
         else:
-            open_ = own.join(groups, ["band", "hash"]).select("band", "hash", "key", "label")
-            pairs = across(open_.join(signed, "key"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        if not pairs.limit(1).count():
-            if turn < stars:
-                continue
-            break
-        found = linked(pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
+            open_ = own.join(groups, ["band", "hash"], "left_semi")
+            found = cut_lineage(across(open_.join(signed, "key").join(texts, "key"), idf_of, similarity))
         if found.limit(1).count():
-            labels = components(links)
-    none = F.lit(0).cast("long")
-    if links is None:
-        found = firsts.select("h1", "h2", F.col("doc_id").alias("class_id"), F.col("key").alias("class_key"), "n_copies", none.alias("n_links"))
+            labels = merged(labels, found)
+    if labels is None:
+        found = firsts.select("h1", "h2", F.col("doc_id").alias("class_id"), F.col("key").alias("class_key"), "n_copies")
     else:
-        ends = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
         labelled = firsts.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
         names = labelled.groupBy("label").agg(F.min(F.struct("doc_id", "key")).alias("name"))
-        found = labelled.join(names, "label").join(ends, "key", "left").select(
-            "h1",
-            "h2",
-            F.col("name.doc_id").alias("class_id"),
-            F.col("name.key").alias("class_key"),
-            "n_copies",
-            F.coalesce("n_links", none).alias("n_links"),
+        found = labelled.join(names, "label").select(
+            "h1", "h2", F.col("name.doc_id").alias("class_id"), F.col("name.key").alias("class_key"), "n_copies"
         )
     return content.select("doc_id", "key", "h1", "h2").join(found, ["h1", "h2"]).drop("h1", "h2")
 

@@ -108,7 +108,7 @@ def op5_sentence_spans(spark, sf_dir):
 @CATALOG.query()
 def op6_near_duplicates(spark, sf_dir):
     found = near_duplicates.classes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", "n_copies", "n_links")
+    return found.select("doc_id", "class_id", "n_copies")
 
 
 TOXICITY_FOLDS = 3
@@ -183,7 +183,7 @@ def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     arguments = F.regexp_replace(arguments, '"words_":', '"words":')
     needed = F.when((n % 5 == 0) & (t % 8 < 6), t + 2).when(t % 8 >= 2, t - 2)
-    calls = turns.filter("role <> 'assistant'").select(
+    calls = turns.filter("NOT role <=> 'assistant'").select(
         "conv_id",
         t.cast("long").alias("seq"),
         F.concat(F.lit("c"), t).alias("call_id"),
