@@ -8,7 +8,9 @@ and are sorted by term there, which is what makes them small.
 postings, and the lists of the rarest ones are intersected in turn: the postings of the rarest
 term give candidate starts (position less the term's offset in the window), each further list keeps
 the starts that have its term at its offset.  Joins are by (term, doc, position), so no frequent word
-gathers in one task.  What is left is compared word by word with the text.
+gathers in one task.  What is left is compared word by word with the texts of the documents it is in; only these
+are split into words again.  The index is read twice: for the numbers of postings, and for the postings of
+the chosen terms of all windows, which are written; and once more, one column of it, for the documents' sizes.
 
 Terms are 64-bit hashes of words, documents 64-bit hashes of doc_id and text.
 
@@ -86,16 +88,19 @@ def _ranked_terms(index: DataFrame, windows: DataFrame, lists: int) -> DataFrame
 def candidates(index: DataFrame, windows: DataFrame, lists: int = LISTS) -> DataFrame:
     """(window, n, doc, start): where the rarest terms of a window stand at their offsets."""
     ranked = _ranked_terms(index, windows, lists)
+    chosen = cut_lineage(ranked.select("term").distinct())
+    postings = cut_lineage(index.join(chosen, "term", "left_semi"))
     found = None
     for place in range(lists):
         own = ranked.filter(F.col("place") == place).select("window", "n", "term", "offset")
         if found is None:
-            found = index.join(own, "term").select("window", "n", "doc", (F.col("pos") - F.col("offset")).alias("start"))
+            found = postings.join(own, "term").select("window", "n", "doc", (F.col("pos") - F.col("offset")).alias("start"))
             found = cut_lineage(found.filter("start >= 0"))
             continue
-        postings = index.join(cut_lineage(own.select("term").distinct()), "term", "left_semi")
+        listed = postings.join(cut_lineage(own.select("term").distinct()), "term", "left_semi")
         asked = found.join(own, ["window", "n"]).withColumn("pos", F.col("start") + F.col("offset"))
-        kept = asked.join(postings, ["term", "doc", "pos"], "left_semi").select("window", "n", "doc", "start")
+        # candidates grow with the documents, so they are never broadcast
+        kept = asked.hint("merge").join(listed, ["term", "doc", "pos"], "left_semi").select("window", "n", "doc", "start")
         # windows of fewer terms than lists were complete before
         short = found.filter(F.col("n") <= place)
         found = cut_lineage(kept.unionByName(short))
@@ -103,13 +108,16 @@ def candidates(index: DataFrame, windows: DataFrame, lists: int = LISTS) -> Data
 
 
 def phrase_matches(docs: DataFrame, index: DataFrame, windows: DataFrame, lists: int = LISTS) -> DataFrame:
-    """All documents with key, words and `matches`, the array of (window, n, start) that occur."""
-    by_doc = candidates(index, windows, lists).groupBy("doc").agg(
-        F.collect_set(F.struct("window", "n", "start")).alias("maybe")
+    """(doc, window, n, start) of all windows that occur, each once."""
+    maybe = candidates(index, windows, lists)
+    by_doc = cut_lineage(maybe.groupBy("doc").agg(F.collect_set(F.struct("window", "n", "start")).alias("maybe")))
+    own = docs.select(doc_key().alias("doc"), "text").join(by_doc.select("doc"), "doc", "left_semi").dropDuplicates(["doc"])
+    split = own.select("doc", words(F.col("text")).alias("words")).join(by_doc, "doc")
+    cut = split.select("doc", "words", F.explode("maybe").alias("m")).select(
+        "doc", "m.*", F.slice("words", F.col("m.start") + 1, F.col("m.n")).alias("found")
     )
-    joined = docs.withColumn("doc", doc_key()).join(by_doc, "doc", "left").withColumn("words", words(F.col("text")))
-    same = lambda c: F.xxhash64(F.slice("words", c["start"] + 1, c["n"])) == c["window"]
-    return joined.withColumn("matches", F.filter(F.coalesce("maybe", F.array().cast("array<struct<window:bigint,n:int,start:int>>")), same)).drop("maybe")
+    asked = windows.select("window", F.col("words").alias("asked"))
+    return cut.join(asked, "window").filter(F.col("found") == F.col("asked")).select("doc", "window", "n", "start")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, lists: int = LISTS, index: DataFrame | None = None) -> DataFrame:
@@ -117,25 +125,24 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, lists:
     sorted ids of these items as strings; a row for every row of docs."""
     windows = cut_lineage(item_windows(items, size))
     index = build_index(docs) if index is None else index
-    matched = phrase_matches(docs.select("doc_id", "text"), index, windows, lists)
-    covered = F.flatten(F.transform("matches", lambda m: F.sequence(m["start"], m["start"] + m["n"] - 1)))
-    found = cut_lineage(
-        matched.select(
-            "doc",
-            "doc_id",
-            F.size("words").cast("long").alias("n_words"),
-            F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
-            F.array_distinct(F.transform("matches", lambda m: m["window"])).alias("windows"),
-        )
-    )
-    hits = found.filter("n_hit > 0").select("doc", F.explode("windows").alias("window")).distinct()
+    matched = cut_lineage(phrase_matches(docs.select("doc_id", "text"), index, windows, lists))
+    place = F.sequence("start", F.col("start") + F.col("n") - 1)
+    hit = matched.groupBy("doc").agg(F.size(F.array_distinct(F.flatten(F.collect_list(place)))).cast("long").alias("n_hit"))
     names = (
-        hits.join(windows.select("window", F.explode("items").alias("item_id")), "window")
+        matched.select("doc", "window").distinct()
+        .join(windows.select("window", F.explode("items").alias("item_id")), "window")
         .groupBy("doc")
         .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     )
-    none = F.array().cast("array<string>")
-    return found.drop("windows").join(names, "doc", "left").withColumn("items", F.coalesce("items", none))
+    hits = cut_lineage(hit.join(names, "doc", "left"))
+    sizes = index.groupBy("doc").agg((F.max("pos") + 1).cast("long").alias("n_words"))
+    none, zero = F.array().cast("array<string>"), F.lit(0).cast("long")
+    return (
+        docs.select(doc_key().alias("doc"), "doc_id")
+        .join(sizes, "doc", "left")
+        .join(hits, "doc", "left")
+        .select("doc", "doc_id", F.coalesce("n_words", zero).alias("n_words"), F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("items", none).alias("items"))
+    )
 
 
 def proximity_matches(index: DataFrame, phrases: DataFrame, within: int) -> DataFrame:
