@@ -15,20 +15,29 @@ from chatterscope.llm.queries import table, tokenizer, toxicity_model
 from chatterscope.session import cut_lineage
 
 
+def _beside(docs: DataFrame, *made: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with other names for columns that an operator would replace, and their own names."""
+    own = {f"__own_{c}": c for c in made if c in docs.columns}
+    return docs.withColumnsRenamed({c: renamed for renamed, c in own.items()}), own
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose score reaches the threshold of their language."""
-    scored = toxicity.rejected(docs, toxicity_model(spark, docs, sf_dir))
-    return scored.filter(~F.col("rejected")).select(docs.columns)
+    plain, own = _beside(docs, "score", "rejected")
+    scored = toxicity.rejected(plain, toxicity_model(spark, docs, sf_dir)).filter(~F.col("rejected"))
+    return scored.drop("score", "rejected").withColumnsRenamed(own).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every class of near copies."""
+    """The first document of every class of near copies; of rows equal in doc_id and text any one."""
     return near_duplicates.keep_first(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the sentences of passages that stand in an earlier place."""
-    cleaned = sentence_spans.dedup_spans(docs).select(docs.columns)
+    plain, own = _beside(docs, "n_sentences", "n_removed")
+    cleaned = sentence_spans.dedup_spans(plain).drop("n_sentences", "n_removed")
+    cleaned = cleaned.withColumnsRenamed(own).select(docs.columns)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cleaned
