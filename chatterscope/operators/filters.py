@@ -59,10 +59,18 @@ def filter_track_terms(messages: DataFrame, terms: Sequence[str], lang: str = "e
 
 
 def term_table(terms: DataFrame) -> DataFrame:
-    """term, words, key of tracked terms (column term): the words of each in lower case, and the one that
-    is in the fewest terms; terms without words are left out."""
-    split = F.filter(F.split(F.lower("term"), r"\s+"), lambda w: w != "")
-    own = terms.select("term", F.array_distinct(split).alias("words")).where(F.size("words") > 0).distinct()
+    """term, words, key of tracked terms: the words of each, and the one that is in the fewest terms; terms
+    without words are left out.
+
+    The words of a term (column term) are what stands between its white space, in lower case.  Terms may also
+    come as arrays of tokens (column words), which may be white space themselves; those stay as they are.
+    """
+    if "words" in terms.columns:
+        split, term = F.col("words"), F.col("words")
+    else:
+        split, term = F.filter(F.split(F.lower("term"), r"\s+"), lambda w: w != ""), F.col("term")
+    own = terms.select(term.alias("term"), F.array_distinct(split).alias("words"))
+    own = own.where(F.size("words") > 0).distinct()
     each = own.select("term", "words", F.explode("words").alias("word"))
     uses = each.groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
     key = F.min_by("word", F.struct("uses", "word")).alias("key")
@@ -70,7 +78,7 @@ def term_table(terms: DataFrame) -> DataFrame:
 
 
 def filter_many_terms(messages: DataFrame, terms: DataFrame, lang: str = "en") -> DataFrame:
-    """What filter_track_terms keeps, for terms in a table (column term) of any size.
+    """What filter_track_terms keeps, for terms in a table (see term_table) of any size.
 
     Distinct tokens meet the terms by key in a join, which Spark broadcasts while the terms are small;
     only terms found by their key have their other words looked for.  Messages are written once.

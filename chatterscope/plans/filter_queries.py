@@ -164,6 +164,7 @@ def filter_many_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = X.table(spark, sf_dir, "benchmark").select(toks).where(F.size("toks") > 2)
     words = items.select(F.col("toks")[0].alias("a"), F.col("toks")[2].alias("b"))
     words = words.where((F.trim("a") != "") & (F.trim("b") != ""))
-    terms = words.select(F.concat_ws(" ", "a", "b").alias("term"))
+    # as tokens, for a run of tabs or line ends is one too
+    terms = words.select(F.array("a", "b").alias("words"))
     messages = X.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return filters.filter_many_terms(messages, terms)

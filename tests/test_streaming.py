@@ -153,3 +153,23 @@ def test_a_hundred_thousand_terms_in_batch_and_stream(spark):
         SM.write_tracked(stream, terms, out, progress, DRAIN).awaitTermination()
     assert {r.id_str for r in versions.read(spark, out).collect()} == brute
     assert filters.filter_many_terms(messages, terms.limit(0)).count() == 0
+
+
+def test_terms_of_tokens_may_hold_white_space(spark):
+    from chatterscope.operators import filters
+
+    terms = spark.createDataFrame([(["end", "\n\n"],), ([" ", "a"],), (["lone", "lone"],)], "words array<string>")
+    rows = [("0", "the end", "en"), ("1", "the end\n\nof", "en"), ("2", "is a", "en"), ("3", "a\tis", "en"), ("4", "Lone", "en")]
+    messages = spark.createDataFrame(rows, "id_str string, text string, lang string")
+    assert {r.id_str for r in filters.filter_many_terms(messages, terms).collect()} == {"1", "2", "4"}
+
+
+def test_items_with_a_line_break_as_a_token(spark):
+    from chatterscope.plans import filter_queries
+
+    folder = fresh_path(spark, "tables")
+    items = spark.createDataFrame([(1, "thing.\nelse")], "item_id long, text string")
+    docs = [(1, "en", "a thing"), (2, "en", "some\nthing"), (3, "en", "some\n\nthing")]
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(f"{folder}/documents.parquet")
+    assert {r.doc_id for r in filter_queries.filter_many_terms(spark, folder).collect()} == {2}
