@@ -302,8 +302,10 @@ def influential_followers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_for_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph of the last year, from a table partitioned by year."""
     path = fresh_path(spark, "yearly-graphs")
-    tables.write_partitioned(G.graph_by_year(year_edges(spark, sf_dir), HUB_BELOW), path, ["year"])
-    graphs = spark.read.parquet(path)
+    graphs = G.graph_by_year(year_edges(spark, sf_dir), HUB_BELOW)
+    tables.write_partitioned(graphs, path, ["year"])
+    # with its schema, as no year may have an edge left
+    graphs = tables.read_batches(spark, path, graphs.schema)
     last = graphs.agg(F.max("year").cast("bigint").alias("last")).first()["last"]
     return graphs.where(F.col("year") == last).select("src", "dst", "weight")
 

@@ -248,7 +248,9 @@ def author_graph(
 
 def graph_file(spark: SparkSession, graph: str, out: str, year: int = 2015) -> None:
     """One year's published graph with its classes, as one document in ordered parts."""
-    edges, labels = (spark.read.parquet(f"{graph}/{n}").where(F.col("year") == year) for n in ("edges", "nodes"))
+    # with their schemas, as no year may have an edge left
+    schemas = {"edges": "src string, dst string, weight bigint, year int", "nodes": "node string, community string, year int"}
+    edges, labels = (tables.read_batches(spark, f"{graph}/{n}", s).where(F.col("year") == year) for n, s in schemas.items())
     gexf.write_document(edges.select("src", "dst", "weight"), labels.select("node", "community"), out)
 
 

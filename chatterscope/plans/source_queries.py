@@ -94,7 +94,7 @@ def select_period(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"year": F.year("month"), "month": F.month("month")}
     )
     tables.write_partitioned(dated, path, ["year", "month"])
-    chosen = CM.select_period(spark.read.parquet(path), 2008)
+    chosen = CM.select_period(tables.read_batches(spark, path, dated.schema), 2008)
     return chosen.groupBy("month", "community").agg(F.count(F.lit(1)).alias("comments"))
 
 

@@ -23,7 +23,7 @@ query = CATALOG.query
 def _batch_table(spark: SparkSession, df: DataFrame, name: str, partition_by=()) -> DataFrame:
     path = fresh_path(spark, name)
     tables.write_batches(df, path, partition_by)
-    return tables.read_batches(spark, path)
+    return tables.read_batches(spark, path, df.schema)
 
 
 @query(
@@ -72,8 +72,9 @@ def write_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacency rows written by year, read back and laid out as edges."""
     path = fresh_path(spark, "adjacency")
     rows = G.adjacency_rows(year_edges(spark, sf_dir), ["year"])
+    rows = rows.withColumn("year", F.col("year").cast("int"))
     tables.write_partitioned(rows, path, ["year"], ["node1"])
-    edges = G.adjacency_edges(spark.read.parquet(path), ["year"])
+    edges = G.adjacency_edges(tables.read_batches(spark, path, rows.schema), ["year"])
     return edges.select("year", F.col("src").alias("node1"), F.col("dst").alias("neighbour"), "weight")
 
 

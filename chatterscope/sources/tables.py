@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chatterscope.session import cut_lineage
 
@@ -68,7 +69,7 @@ def write_batches(
         clear_partitions(df, path, "batch", owned)
 
 
-def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """All batches; with a schema a table that has no rows yet reads as empty."""
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 

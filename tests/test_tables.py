@@ -1,5 +1,8 @@
 """Batch tables: repeated batches change nothing."""
 
+import pytest
+
+from chatterscope.plans import registry
 from chatterscope.session import fresh_path
 from chatterscope.sources import tables
 
@@ -66,3 +69,13 @@ def test_set_union(spark):
         "x": (None, None, ["a"]),
     }
     assert [r.title for r in tables.collect_backlinks(table, ["x"]).collect()] == ["x"]
+
+
+@pytest.mark.parametrize("name", ["graph_for_year", "write_adjacency"])
+def test_graphs_without_an_edge_are_empty_tables(spark, sf_dir, name):
+    folder = fresh_path(spark, "tables")
+    for table in ("lineitem", "orders", "part"):
+        rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        (rows.limit(5) if table == "lineitem" else rows).write.parquet(f"{folder}/{table}.parquet")
+    df = registry.queries()[name](spark, folder)
+    assert df.columns and df.count() == 0
