@@ -11,9 +11,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DateType, NumericType, StructType
 
 from chatterscope.session import cut_lineage
 
@@ -86,12 +86,16 @@ def last_rows(
 ) -> DataFrame:
     """The last row per key with all its columns, in the order of ``sequence``.
 
-    Only keys and numbers are aggregated: each row gets a hash of what orders it besides the sequence, and
+    Rows of numbers besides their keys are ranked by key.  Of others only keys and numbers are aggregated: each row gets a hash of what orders it besides the sequence, and
     the rows of the largest (sequence, hash) are what is left; so long values go through one join and
     no sort of theirs.  Rows equal in both are equal in what can be compared, and one of them stays.
     """
     order = _order(batches, keys, sequence)
     rest = [c for c in order if c not in sequence]
+    if all(isinstance(batches.schema[c].dataType, (NumericType, DateType, BooleanType)) for c in batches.columns if c not in keys):
+        # short rows are shuffled once, by key
+        last = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+        return batches.withColumn("__place", F.row_number().over(last)).where("__place = 1").drop("__place")
     # the order of ties is that of the values, for the few keys that have ties
     own = batches.withColumn("__rank", F.struct(*sequence))
     newest = own.groupBy(*keys).agg(F.max("__rank").alias("__rank"))
