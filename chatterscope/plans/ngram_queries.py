@@ -24,13 +24,23 @@ def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bucketed(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
+    return X.comments(spark, sf_dir).withColumn("bucket", TM.bucket_time(F.col("created_utc"), grain))
+
+
 def community_counts(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
-    comments = X.comments(spark, sf_dir).withColumn(
-        "bucket", TM.bucket_time(F.col("created_utc"), grain)
-    )
-    return N.count_phrases(
-        N.phrases(comments, ["bucket", "community"]), ["bucket", "community"]
-    )
+    occurrences = N.phrases(bucketed(spark, sf_dir, grain), ["bucket", "community"])
+    return N.count_phrases(occurrences, ["bucket", "community"])
+
+
+def frequent_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bucket, community, n, ngram, cnt, total of the bucket: phrases above the fixed floors, the others not shuffled."""
+    return N.frequent_phrases(bucketed(spark, sf_dir), ["bucket", "community"], ["bucket"])
+
+
+def _words(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    comments = bucketed(spark, sf_dir)
+    return comments.select(*keep, N.tokenized(comments))
 
 
 BUCKETED = (
@@ -182,8 +192,8 @@ WHERE cnt > CASE WHEN n = 1 THEN greatest(20, floor(1e-7 * total)) ELSE greatest
 )
 def ngram_count_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day and community, n = 1..3, pruned and divided by the total over all days."""
-    counts = community_counts(spark, sf_dir, "day")
-    return _rounded(N.relative_frequency(N.prune_adaptive(counts)))
+    found = N.frequent_phrases(bucketed(spark, sf_dir, "day"), ["bucket", "community"], adaptive=True)
+    return _rounded(N.relative_frequency(found))
 
 
 @query(f"WITH {X.TOKENS} SELECT id, n, count(*) AS cnt FROM phrases GROUP BY id, n")
@@ -194,17 +204,17 @@ def ngram_all_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BUCKETED} SELECT * FROM bt")
 def bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.totals(community_counts(spark, sf_dir), ["bucket"])
+    return N.window_totals(_words(spark, sf_dir, "bucket"), ["bucket"])
 
 
 @query(f"WITH {BUCKETED} SELECT * FROM gt")
 def grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.totals(community_counts(spark, sf_dir))
+    return N.window_totals(_words(spark, sf_dir))
 
 
 @query(f"WITH {X.MONTHLY} SELECT * EXCLUDE (percentage) FROM monthly")
 def prune_adaptive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.monthly_table(X.comments(spark, sf_dir)).drop("percentage")
+    return N.monthly_frequent(X.comments(spark, sf_dir)).drop("percentage")
 
 
 @query(f"WITH {X.MONTHLY} SELECT month, n, ngram, cnt, total FROM monthly")
@@ -215,13 +225,12 @@ def frequent_phrases_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BUCKETED} SELECT cc.*, total FROM cc JOIN bt USING (bucket, n) WHERE {FLOOR}")
 def frequent_phrases_community(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comments = X.comments(spark, sf_dir).withColumn("bucket", TM.bucket_time(F.col("created_utc"), "month"))
-    return N.frequent_phrases(comments, ["bucket", "community"], ["bucket"])
+    return frequent_counts(spark, sf_dir)
 
 
 @query(f"WITH {BUCKETED} SELECT * FROM cc WHERE {FLOOR}")
 def prune_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.above_floor(community_counts(spark, sf_dir))
+    return frequent_counts(spark, sf_dir).drop("total")
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -230,7 +239,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query(f"WITH {X.MONTHLY} SELECT * REPLACE (round(percentage, 12) AS percentage) FROM monthly")
 def relative_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(N.monthly_table(X.comments(spark, sf_dir)))
+    return _rounded(N.monthly_frequent(X.comments(spark, sf_dir)))
 
 
 @query(
@@ -238,7 +247,7 @@ def relative_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"GROUP BY ALL) SELECT r.*, total FROM r JOIN gt USING (n) WHERE {FLOOR}"
 )
 def community_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.community_rollup(community_counts(spark, sf_dir))
+    return N.frequent_phrases(X.comments(spark, sf_dir), ["community"])
 
 
 @query(
@@ -247,7 +256,7 @@ def community_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     "GROUP BY ALL"
 )
 def community_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.community_counters(community_counts(spark, sf_dir))
+    return N.added_up(frequent_counts(spark, sf_dir))
 
 
 @query(
@@ -255,4 +264,4 @@ def community_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"FROM cc LEFT JOIN bt USING (bucket, n) WHERE {FLOOR}"
 )
 def join_bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(N.community_table(community_counts(spark, sf_dir)))
+    return _rounded(N.relative_frequency(frequent_counts(spark, sf_dir)))

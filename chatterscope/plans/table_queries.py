@@ -12,7 +12,7 @@ from chatterscope.plans import fixtures as X
 from chatterscope.plans.activity_queries import DAILY, events_as_comments
 from chatterscope.plans.catalog import Catalog
 from chatterscope.plans.graph_queries import BOUGHT, year_edges
-from chatterscope.plans.ngram_queries import BUCKETED, FLOOR, community_counts
+from chatterscope.plans.ngram_queries import BUCKETED, FLOOR, frequent_counts
 from chatterscope.session import fresh_path
 from chatterscope.sources import tables
 
@@ -54,8 +54,7 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counter increments of every month as a batch of its own, added up on reading."""
-    counts = community_counts(spark, sf_dir)
-    deltas = N.join_totals(N.above_floor(counts), N.totals(counts, ["bucket"]), ["bucket"])
+    deltas = frequent_counts(spark, sf_dir)
     months = F.year("bucket") * 100 + F.month("bucket")
     rows = deltas.select(
         months.alias("batch"), "community", "n", "ngram", F.col("cnt").alias("wcount"), "total"

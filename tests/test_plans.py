@@ -9,6 +9,7 @@ from chatterscope.plans import fixtures as X
 from chatterscope.plans import registry
 from chatterscope.plans.activity_queries import events_as_comments
 from chatterscope.operators import activity as A
+from chatterscope.sources import tables
 
 
 def plan_of(df, run=False):
@@ -58,3 +59,29 @@ def test_scans_read_only_what_is_used(spark, sf_dir):
 def test_pairs_are_counted_where_they_are_made(spark):
     members = spark.createDataFrame([("u", "a"), ("u", "b")], "author string, community string")
     assert "partial_count" in plan_of(G.edge_weights(members))
+
+
+@pytest.mark.parametrize("name", ["bucket_totals", "grand_total"])
+def test_totals_shuffle_no_phrases(spark, sf_dir, name):
+    plan = plan_of(registry.queries()[name](spark, sf_dir))
+    assert "Exchange" in plan and "ngram" not in plan
+
+
+@pytest.mark.parametrize("name", ["prune_fixed", "relative_frequency", "community_rollup"])
+def test_pruned_tables_shuffle_no_rare_phrases(spark, sf_dir, name):
+    plan = plan_of(registry.queries()[name](spark, sf_dir))
+    assert "Exchange" not in plan and "documents.parquet" not in plan
+
+
+def test_last_rows_of_numbers_are_shuffled_once(spark):
+    rows = spark.createDataFrame([(0, "a", 5), (1, "a", 2), (1, "a", 3), (0, "b", None)], "batch int, k string, v bigint")
+    last = tables.last_rows(rows, ["k"])
+    assert final_part(plan_of(last)).count("Exchange") == 1
+    assert {(r.batch, r.k, r.v) for r in last.collect()} == {(1, "a", 3), (0, "b", None)}
+
+
+def test_totals_of_windows_are_those_of_counts(spark, sf_dir):
+    comments = X.comments(spark, sf_dir)
+    words = comments.select("month", N.tokenized(comments))
+    counts = N.count_phrases(N.phrases(comments, ["month"]), ["month"])
+    assert set(N.window_totals(words, ["month"]).collect()) == set(N.totals(counts, ["month"]).collect())
