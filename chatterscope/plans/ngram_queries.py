@@ -39,8 +39,7 @@ def frequent_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    comments = bucketed(spark, sf_dir)
-    return comments.select(*keep, N.tokenized(comments))
+    return N.tokenized_comments(bucketed(spark, sf_dir), keep)
 
 
 BUCKETED = (
@@ -98,11 +97,8 @@ SELECT id, string_agg(replace(tok, chr(1), '|'), ' ' ORDER BY pos) AS tokens FRO
 )
 def strip_punctuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = T.strip_punctuation(T.sentence_tokens(F.col("normalized")))
-    return (
-        _normalized(spark, sf_dir)
-        .select("id", F.translate(F.array_join(kept, " "), T.BREAK, "|").alias("tokens"))
-        .where(F.col("tokens") != "")
-    )
+    joined = F.translate(F.array_join(kept, " "), T.BREAK, "|")
+    return N.computed_once(_normalized(spark, sf_dir), ["id"], joined, "tokens").where(F.col("tokens") != "")
 
 
 @query(
@@ -135,19 +131,19 @@ FROM s WHERE tok <> chr(1) AND nxt <> chr(1) GROUP BY id"""
 def drop_stopword_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word windows per comment, with and without those that touch a stop word."""
     tokens = T.strip_punctuation(T.sentence_tokens(F.col("normalized")))
-    words = _normalized(spark, sf_dir).select(
+    split = N.computed_once(_normalized(spark, sf_dir), ["id"], tokens, "tokens")
+    words = split.select(
         "id",
-        T.phrase_words(tokens, stop_words=[]).alias("all_words"),
-        T.phrase_words(tokens).alias("words"),
+        T.phrase_words(F.col("tokens"), stop_words=[]).alias("all_words"),
+        T.phrase_words(F.col("tokens")).alias("words"),
     )
 
     def windows(column: str):
         grams = T.ngrams(F.col(column), 2)
         return F.size(F.filter(grams, lambda g: g.isNotNull())).cast("bigint")
 
-    return words.select(
-        "id", windows("all_words").alias("windows"), windows("words").alias("kept_windows")
-    ).where(F.col("windows") > 0)
+    both = F.struct(windows("all_words").alias("windows"), windows("words").alias("kept_windows"))
+    return N.computed_once(words, ["id"], both, "both").select("id", "both.*").where(F.col("windows") > 0)
 
 
 @query(
@@ -158,7 +154,7 @@ FROM kept GROUP BY id HAVING count(w) > 0"""
 def unigram_min_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single words per comment before and after the length rule."""
     words = T.phrase_words(T.strip_punctuation(T.sentence_tokens(F.col("normalized"))))
-    split = _normalized(spark, sf_dir).select("id", words.alias("words"))
+    split = N.computed_once(_normalized(spark, sf_dir), ["id"], words, "words")
     return split.select(
         "id",
         F.size(F.filter("words", lambda w: w.isNotNull())).cast("bigint").alias("words"),

@@ -85,3 +85,12 @@ def test_totals_of_windows_are_those_of_counts(spark, sf_dir):
     words = comments.select("month", N.tokenized(comments))
     counts = N.count_phrases(N.phrases(comments, ["month"]), ["month"])
     assert set(N.window_totals(words, ["month"]).collect()) == set(N.totals(counts, ["month"]).collect())
+
+
+@pytest.mark.parametrize(
+    "name", ["drop_stopword_windows", "bucket_totals", "grand_total", "unigram_min_length", "strip_punctuation", "ngram_all_n"]
+)
+def test_filters_do_not_tokenize_again(spark, sf_dir, name):
+    df = registry.queries()[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
