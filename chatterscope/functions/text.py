@@ -38,13 +38,14 @@ URL = (
 URL_HINT = r"\.[a-z.]{2}"
 SHORT_URL = r"[(\[]?http://(?:bit\.ly|t\.co|lnkd\.in|tcrn\.ch)\S*\b[)\]]?"
 WHOLE_NUMBER = r"^[0-9]+(?:[,.][0-9]+)?(\n?)\z"
+# what a text must hold, the pattern, its replacement
 ENTITIES = (
-    (r"&gt;?", "<"),
-    (r"&amp;?", "&"),
-    (r"&quot;?", C.IMAGE_MARK),
-    (r"&tilde;?", "~"),
-    (r"&mdash;?", "-"),
-    (r"&\w;", C.HTML_MARK),
+    ("&gt", r"&gt;?", "<"),
+    ("&amp", r"&amp;?", "&"),
+    ("&quot", r"&quot;?", C.IMAGE_MARK),
+    ("&tilde", r"&tilde;?", "~"),
+    ("&mdash", r"&mdash;?", "-"),
+    ("&", r"&\w;", C.HTML_MARK),
 )
 UNICODE_ESCAPE = r"\\u[0-9a-f]{4}"
 IMAGE = r"<img[^>]*[^/]>"
@@ -61,8 +62,8 @@ TEXT_END_WORD = rf"(?<![{_WORD}])([{_WORD}]+'*)\z"
 # Adjacent pieces without space between them form one token (3.14, mr.), ASCII punctuation other
 # than .?! stands alone.
 GLUED_TOKEN = (
-    rf"{BREAK}|{TAIL}[^{BREAK}{TAIL}]+"
-    rf"|[^{_SPACE}\"#$%&()*+,\-/:;<=>@\[\\\]^`{{|}}~{BREAK}{TAIL}]+"
+    rf"[^{_SPACE}\"#$%&()*+,\-/:;<=>@\[\\\]^`{{|}}~{BREAK}{TAIL}]+"
+    rf"|{BREAK}|{TAIL}[^{BREAK}{TAIL}]+"
     r"|,+|[{}\-<>=]+|[\"#$%&()*+/:;@\[\\\]^`|~]"
 )
 
@@ -104,10 +105,18 @@ def normalize_text(text: Column) -> Column:
     text = _where(
         text, holds("http://"), lambda t: F.regexp_replace(t, SHORT_URL, C.SHORT_URL_MARK)
     )
-    text = F.regexp_replace(text, WHOLE_NUMBER, C.NUMBER_MARK + "$1")
     text = _where(
-        text, holds("&"), lambda t: reduce(lambda col, e: F.regexp_replace(col, *e), ENTITIES, t)
+        text,
+        lambda t: F.left(t, F.lit(1)).between("0", "9"),
+        lambda t: F.regexp_replace(t, WHOLE_NUMBER, C.NUMBER_MARK + "$1"),
     )
+
+    def entities(t: Column) -> Column:
+        return reduce(
+            lambda col, e: _where(col, holds(e[0]), lambda c: F.regexp_replace(c, e[1], e[2])), ENTITIES, t
+        )
+
+    text = _where(text, holds("&"), entities)
     text = _where(text, holds("\\u"), lambda t: F.regexp_replace(t, UNICODE_ESCAPE, ""))
     return _where(text, holds("<img"), lambda t: F.regexp_replace(t, IMAGE, C.IMAGE_MARK))
 

@@ -201,3 +201,18 @@ def test_candidates_are_not_shuffled_by_the_word_before(spark, sf_dir):
     for r in marked.collect():  # nothing but marks is changed
         assert len(r.normalized) == len(texts[r.id])
         assert all(a == b or (b in B.SCORED_MARKS and a == T.BREAK) for a, b in zip(r.normalized, texts[r.id], strict=True))
+
+
+def test_asked_phrases_write_only_their_numbers(spark, sf_dir, monkeypatch):
+    from chatterscope.plans import fixtures as X
+
+    comments = X.comments(spark, sf_dir)
+    written, write = [], N.cut_lineage
+    monkeypatch.setattr(N, "cut_lineage", lambda df: written.append(df.columns) or write(df))
+    terms = ["de", "la de", "a", "", "no such phrase", "la  de", "eriner thanea", "de"]
+    counts, totals = N.asked_phrases(comments, ["month", "community"], ["month"], terms)
+    assert len(written) == 1 and "words" not in written[0]
+    whole = N.count_phrases(N.phrases(comments, ["month", "community"]), ["month", "community"])
+    assert set(counts.collect()) == set(whole.where(F.col("ngram").isin(terms)).collect())
+    assert set(totals.collect()) == set(N.totals(whole, ["month"]).collect())
+    assert N.asked_phrases(comments, ["month"], ["month"], ["", "a"])[0].count() == 0
