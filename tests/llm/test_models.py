@@ -145,3 +145,27 @@ def test_spread_bigrams_and_small_parts_change_nothing(spark, documents, monkeyp
     model = Brute(texts)
     got = kneser_ney.score(documents, kneser_ney.train(documents)).collect()
     assert all(same((r.n_tokens, r.n_known, r.base_score, r.score), model.score(r.text)) for r in got)
+
+
+def test_all_labels_are_learned_from(spark):
+    """A word that only the last rows hold, and parts of 50 rows."""
+    rows = [(i, f"some text {i % 7} " + ("vile words" if i % 3 == 0 else "kind words")) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = frame.selectExpr("doc_id", "CAST(doc_id % 3 = 0 AS INT) AS toxic")
+    model = toxicity.fit(frame, marks, 50)
+    learned = frame.filter("pmod(xxhash64(CAST(doc_id AS STRING)), 5) <> 0").count()
+    seen = []
+    count = toxicity._count_holding
+
+    def holding(part):
+        seen.append(part.count())
+        return count(part)
+
+    toxicity._count_holding, again = holding, None
+    try:
+        again = toxicity.fit(frame.repartition(3), marks, 50)
+    finally:
+        toxicity._count_holding = count
+    assert seen == [learned] and np.array_equal(model.tables, again.tables)
+    got = {r.doc_id: r.rejected for r in toxicity.rejected(frame, model).collect()}
+    assert got == {i: i % 3 == 0 for i in range(300)}
