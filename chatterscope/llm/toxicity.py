@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatterscope.llm import arrays
+from chatterscope.operators import ngrams
 from chatterscope.session import cut_lineage
 
 #: Labelled rows that one task trains on, and the steps of a change and of a logit that are told apart.
@@ -338,7 +339,11 @@ def _calibrate(model: Classifier, counted: pa.Table) -> None:
 def fit(docs: DataFrame, labels: DataFrame, shard_rows: int = SHARD_ROWS) -> Classifier:
     """A classifier of documents (doc_id, text, lang) from all labels (doc_id, toxic)."""
     chosen = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     chosen = chosen.agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    # few texts without a label pass the filter of ids, and none with one is lost, so that only these are shuffled
+    asked = ngrams._bits(chosen.select(F.col("doc_id").cast(id_type).alias("ngram")), [])
+    docs = docs.filter(ngrams._holds(asked, F.xxhash64("doc_id")))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,12 +355,11 @@ def fit(docs: DataFrame, labels: DataFrame, shard_rows: int = SHARD_ROWS) -> Cla
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "held", "toxic", "lang")), words], names=["doc_id", "held", "toxic", "lang", "words"])
 
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select("doc_id", "text", lang.alias("lang")).join(chosen, "doc_id")
+    rows = docs.select("doc_id", "text", lang.alias("lang")).hint("merge").join(chosen, "doc_id")
     held = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(CALIBRATION)) == 0
     shards = max(1, -(-labels.count() // shard_rows))
     rows = rows.select("doc_id", held.alias("held"), "toxic", "lang", "text").repartition(shards, "doc_id")
     rows = rows.sortWithinPartitions("doc_id", "text")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     made = rows.mapInArrow(hashed, f"doc_id {id_type}, held boolean, toxic int, lang string, words array<bigint>")
     rows = cut_lineage(made)
     learn = rows.filter("NOT held").select("toxic", "lang", "words")
