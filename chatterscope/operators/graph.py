@@ -35,24 +35,29 @@ def co_membership_pairs(
 ) -> DataFrame:
     """Every pair of communities that an author is active in: also, author, src, dst.
 
-    ``members`` holds each (also, author, community) once.  Authors with more than ``block``
-    communities have them dealt to blocks, and each pair of blocks is a join key of its own, so
-    no task gets more than about block x block pairs of one author.
+    ``members`` holds each (also, author, community) once.  Most authors' communities are gathered and paired in
+    place.  Authors with more than ``block`` communities have them dealt to blocks, and each pair of blocks
+    is a join key of its own, so no task gets more than about block x block pairs of one author.
     """
     key = [*also, "author"]
-    members = members.select(*key, "community")
-    # authors of one community have no pair and go before anything is paired
-    sizes = (
-        members.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("size"))
-        .where(F.col("size") > 1)
-        .select(*key, F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    )
-    dealt = members.join(sizes, key).withColumn(
-        "b", F.pmod(F.xxhash64("community"), F.col("blocks")).cast("int")
-    )
+    members = members.select(*key, "community").dropna(subset=key)
+    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block)
+    # written, so that their number, mostly none, is known before all members are asked for them
+    many = cut_lineage(sizes.select(*key, F.ceil(F.col("size") / block).cast("int").alias("blocks")))
     # members are few rows but make many pairs: a fixed number of tasks, which AQE does not merge
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = members.join(many, key, "left_anti").repartition(tasks, *key)
+    # in a struct, as a list of values leaves out those that are null
+    lists = few.groupBy(*key).agg(F.collect_list(F.struct("community")).alias("all")).where(F.size("all") > 1)
+    each = lists.select(*key, "all", F.posexplode("all").alias("at", "a"))
+    later = F.slice("all", F.col("at") + 2, F.size("all"))
+    near = each.select(*key, F.col("a.community").alias("a"), F.explode(later).alias("c"))
+    near = near.select(*key, "a", F.col("c.community").alias("c"))
+    near = near.where(~F.col("a").eqNullSafe(F.col("c")))
+
+    dealt = members.join(many, key).withColumn(
+        "b", F.pmod(F.xxhash64("community"), F.col("blocks")).cast("int")
+    )
     left = dealt.select(
         *key,
         F.col("community").alias("a"),
@@ -65,9 +70,10 @@ def co_membership_pairs(
         F.explode(F.sequence(F.lit(0), F.col("b"))).alias("i"),
         F.col("b").alias("j"),
     )
-    pairs = left.join(right, [*key, "i", "j"]).where(
+    far = left.join(right, [*key, "i", "j"]).where(
         (F.col("i") < F.col("j")) | (_rank(F.col("a")) < _rank(F.col("c")))
     )
+    pairs = near.unionByName(far.select(*key, "a", "c"))
     return pairs.select(*key, *canonical_edge(F.col("a"), F.col("c")))
 
 
@@ -126,15 +132,19 @@ def overlap_edges(
     in rare authors are counted, and their frequent ones, a fixed number, looked up afterwards.
     """
     key = [*also, "community"]
+    members = cut_lineage(members.select(*key, "author"))
+    # one row for a community, written, so that its number is known before all members are asked for it
     large_enough = members.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > more_than)
-    members = cut_lineage(members.join(large_enough.select(*key), key, "left_semi").select(*key, "author"))
+    members = cut_lineage(members.join(cut_lineage(large_enough.select(*key)), key, "left_semi"))
     found, rare, frequent = overlap_candidates(members, more_than, also, block)
     found = cut_lineage(found)
+    # frequent authors are asked for only, a fixed number for each community
+    asked_for = cut_lineage(frequent.select(*also, "author").distinct())
 
     def looked_up(end: str, other: str, theirs: DataFrame) -> DataFrame:
         """Pairs once for each frequent author of ``end`` among the other's members."""
         asked = found.drop("weight").join(frequent.withColumnRenamed("community", end), [*also, end])
-        there = theirs.withColumnRenamed("community", other)
+        there = theirs.join(asked_for, [*also, "author"], "left_semi").withColumnRenamed("community", other)
         return asked.join(there, [*also, other, "author"], "left_semi").select(
             *also, "src", "dst", F.lit(1).cast("bigint").alias("weight")
         )

@@ -168,3 +168,16 @@ def test_edges_by_overlap_equal_all_pairs_and_need_fewer(spark):
         every = G.edge_weights(members, ["year"]).agg({"weight": "sum"}).first()[0]
         assert paired < every / 2
     assert G.overlap_edges(members.drop("year").distinct().limit(0), 2).count() == 0
+
+
+def test_most_authors_are_paired_in_place(spark):
+    rows = [("a", c) for c in "xYz"] + [("b", c) for c in "vwxYz"] + [("c", "x"), (None, "x"), (None, "v")]
+    members = spark.createDataFrame(rows, "author string, community string")
+    whole = {("a", p, q) for p, q in ("xY", "xz", "Yz")} | {
+        ("b", p, q) for p, q in ("vw", "vx", "vY", "vz", "wx", "wY", "wz", "xY", "xz", "Yz")
+    }
+    for block in (1, 3, 4, 500):  # all, some and none of the authors are dealt to blocks
+        pairs = G.co_membership_pairs(members, block=block)
+        got = [(r.author, r.src, r.dst) for r in pairs.collect()]
+        assert len(got) == len(whole) and set(got) == whole
+    assert "collect_list" in pairs._jdf.queryExecution().optimizedPlan().toString()
