@@ -342,7 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame, shard_rows: int = SHARD_ROWS) -> Cla
     id_type = docs.schema["doc_id"].dataType.simpleString()
     chosen = chosen.agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     # few texts without a label pass the filter of ids, and none with one is lost, so that only these are shuffled
-    asked = ngrams._bits(chosen.select(F.col("doc_id").cast(id_type).alias("ngram")), [])
+    asked = ngrams._bits(chosen.select(F.xxhash64(F.col("doc_id").try_cast(id_type)).alias("hash")))
     docs = docs.filter(ngrams._holds(asked, F.xxhash64("doc_id")))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -169,3 +169,19 @@ def test_all_labels_are_learned_from(spark):
     assert seen == [learned] and np.array_equal(model.tables, again.tables)
     got = {r.doc_id: r.rejected for r in toxicity.rejected(frame, model).collect()}
     assert got == {i: i % 3 == 0 for i in range(300)}
+
+
+def test_ids_of_other_types_are_learned_from(spark, monkeypatch):
+    """The filter of labelled ids loses no label whose id has another type, and lets few other texts through."""
+    rows = [(i, f"some text {i % 7} " + ("vile words" if i % 3 == 0 else "kind words")) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = frame.filter("doc_id < 300").selectExpr("doc_id", "CAST(doc_id % 3 = 0 AS INT) AS toxic")
+    passed, holds = [], toxicity.ngrams._holds
+    monkeypatch.setattr(toxicity.ngrams, "_holds", lambda bits, hash_: passed.append(holds(bits, hash_)) or passed[-1])
+    models = [toxicity.fit(frame, marks.withColumn("doc_id", marks.doc_id.cast(kind))) for kind in ("bigint", "int", "string")]
+    assert all(np.array_equal(models[0].tables, m.tables) and np.array_equal(models[0].out, m.out) for m in models)
+    assert {r.doc_id for r in frame.filter(passed[0]).collect()} >= set(range(300))
+    assert frame.filter(passed[0]).count() < 1000
+    far = spark.createDataFrame([(5_000_000_000, 1)], "doc_id long, toxic int").union(marks)
+    small = toxicity.fit(frame.withColumn("doc_id", frame.doc_id.cast("int")), far)
+    assert small.out.any()
