@@ -9,8 +9,10 @@ postings, and the lists of the rarest ones are intersected in turn: the postings
 term give candidate starts (position less the term's offset in the window), each further list keeps
 the starts that have its term at its offset.  Joins are by (term, doc, position), so no frequent word
 gathers in one task.  What is left is compared word by word with the texts of the documents it is in; only these
-are split into words again.  The index is read twice: for the numbers of postings, and for the postings of
-the chosen terms of all windows, which are written; and once more, one column of it, for the documents' sizes.
+are split into words again.  Postings of further lists and texts are shuffled for a join only if their keys pass a
+bit set of those asked for, which loses none, so that texts without a candidate mostly stay in place.  The index
+is read twice: for the numbers of postings, and for the postings of the chosen terms of all windows, which
+are written; and once more, one column of it, for the documents' sizes.
 
 Terms are 64-bit hashes of words, documents 64-bit hashes of doc_id and text.
 
@@ -27,6 +29,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatterscope.operators import ngrams
 from chatterscope.session import cut_lineage
 
 WINDOW = 10
@@ -85,6 +88,12 @@ def _ranked_terms(index: DataFrame, windows: DataFrame, lists: int) -> DataFrame
     return cut_lineage(chosen.select("window", "n", "place", "t.term", "t.offset"))
 
 
+def _among(rows: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys are among those of asked, and a few others."""
+    bits = ngrams._bits(asked.select(F.xxhash64(*keys).alias("hash")))
+    return rows.filter(ngrams._holds(bits, F.xxhash64(*keys)))
+
+
 def candidates(index: DataFrame, windows: DataFrame, lists: int = LISTS) -> DataFrame:
     """(window, n, doc, start): where the rarest terms of a window stand at their offsets."""
     ranked = _ranked_terms(index, windows, lists)
@@ -99,6 +108,7 @@ def candidates(index: DataFrame, windows: DataFrame, lists: int = LISTS) -> Data
             continue
         listed = postings.join(cut_lineage(own.select("term").distinct()), "term", "left_semi")
         asked = found.join(own, ["window", "n"]).withColumn("pos", F.col("start") + F.col("offset"))
+        listed = _among(listed, asked, ["term", "doc", "pos"])
         # candidates grow with the documents, so they are never broadcast
         kept = asked.hint("merge").join(listed, ["term", "doc", "pos"], "left_semi").select("window", "n", "doc", "start")
         # windows of fewer terms than lists were complete before
@@ -111,7 +121,8 @@ def phrase_matches(docs: DataFrame, index: DataFrame, windows: DataFrame, lists:
     """(doc, window, n, start) of all windows that occur, each once."""
     maybe = candidates(index, windows, lists)
     by_doc = cut_lineage(maybe.groupBy("doc").agg(F.collect_set(F.struct("window", "n", "start")).alias("maybe")))
-    own = docs.select(doc_key().alias("doc"), "text").join(by_doc.select("doc"), "doc", "left_semi").dropDuplicates(["doc"])
+    own = _among(docs.select(doc_key().alias("doc"), "text"), by_doc, ["doc"])
+    own = own.join(by_doc.select("doc"), "doc", "left_semi").dropDuplicates(["doc"])
     split = own.select("doc", words(F.col("text")).alias("words")).join(by_doc, "doc")
     cut = split.select("doc", "words", F.explode("maybe").alias("m")).select(
         "doc", "m.*", F.slice("words", F.col("m.start") + 1, F.col("m.n")).alias("found")

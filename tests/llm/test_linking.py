@@ -65,6 +65,27 @@ def test_decontamination_of_odd_rows(spark, odd, none):
     assert decontamination.decontaminate(odd, items.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_texts_without_candidates_are_not_shuffled(spark, monkeypatch):
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randint(0, 300)}" for _ in range(n))
+    items = [(k, text(14)) for k in range(5)]
+    docs = [(i, f"{text(40)} {items[i // 400][1] if i % 400 == 0 else text(3)} {text(40)}") for i in range(2000)]
+    seen, among = {}, decontamination._among
+
+    def counted(rows, asked, keys):
+        kept = among(rows, asked, keys)
+        seen.setdefault(tuple(keys), []).append((rows.count(), kept.count()))
+        return kept
+
+    monkeypatch.setattr(decontamination, "_among", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = decontamination.decontaminate(frame, spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in found.filter("n_hit > 0").collect()} == set(range(0, 2000, 400))
+    (texts, kept), = seen["doc",]
+    assert texts == 2000 and 5 <= kept <= 400
+    assert len(seen["term", "doc", "pos"]) == 2 and all(kept < rows / 2 for rows, kept in seen["term", "doc", "pos"])
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "red x x blue green"), (2, "blue x x x x x x red green"), (3, "green red blue"), (4, "red blue")], "doc_id long, text string")
     phrases = spark.createDataFrame([(1, "red blue green"), (2, "nothing red")], "phrase_id long, text string")
