@@ -53,7 +53,8 @@ def doc_key() -> Column:
 
 def build_index(docs: DataFrame) -> DataFrame:
     """(term, doc, pos) of all words, written to the shared folder, sorted by term in each part."""
-    posted = docs.select(doc_key().alias("doc"), F.posexplode(words(F.col("text"))).alias("pos", "word"))
+    keyed = docs.select(doc_key().alias("doc"), "text")  # in a select of its own, as texts are else hashed for every word
+    posted = keyed.select("doc", F.posexplode(words(F.col("text"))).alias("pos", "word"))
     return cut_lineage(posted.select(F.xxhash64("word").alias("term"), "doc", "pos").sortWithinPartitions("term"))
 
 

@@ -86,6 +86,12 @@ def test_texts_without_candidates_are_not_shuffled(spark, monkeypatch):
     assert len(seen["term", "doc", "pos"]) == 2 and all(kept < rows / 2 for rows, kept in seen["term", "doc", "pos"])
 
 
+def test_texts_are_hashed_once_a_document(odd, monkeypatch):
+    monkeypatch.setattr(decontamination, "cut_lineage", lambda df: df)
+    plan = decontamination.build_index(odd)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("xxhash64(doc_id") and plan.count("split(") == 1
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "red x x blue green"), (2, "blue x x x x x x red green"), (3, "green red blue"), (4, "red blue")], "doc_id long, text string")
     phrases = spark.createDataFrame([(1, "red blue green"), (2, "nothing red")], "phrase_id long, text string")
