@@ -4,9 +4,11 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from chatterscope.llm import kneser_ney, queries, toxicity
@@ -185,3 +187,15 @@ def test_ids_of_other_types_are_learned_from(spark, monkeypatch):
     far = spark.createDataFrame([(5_000_000_000, 1)], "doc_id long, toxic int").union(marks)
     small = toxicity.fit(frame.withColumn("doc_id", frame.doc_id.cast("int")), far)
     assert small.out.any()
+
+
+def test_table_rows_are_read_without_copies():
+    want = np.random.default_rng(1).integers(0, 1 << toxicity.BITS, (2, 100_000))
+    words = pa.ListArray.from_arrays(pa.array([0, 7, 100_000], pa.int32()), pa.array((want[0] << 32) | want[1]))
+    batch = pa.RecordBatch.from_arrays([words, pa.array([0, 1])], names=["words", "toxic"])
+    tracemalloc.start()
+    index, at, toxic = toxicity._texts(batch)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(index, want) and index.dtype == np.int32 and list(at) == [0, 7, 100_000] and list(toxic) == [0, 1]
+    assert most < 1.5 * index.nbytes
