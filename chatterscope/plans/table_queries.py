@@ -13,17 +13,18 @@ from chatterscope.plans.activity_queries import DAILY, events_as_comments
 from chatterscope.plans.catalog import Catalog
 from chatterscope.plans.graph_queries import BOUGHT, year_edges
 from chatterscope.plans.ngram_queries import BUCKETED, FLOOR, frequent_counts
-from chatterscope.session import fresh_path
+from chatterscope.session import cut_rounds, cuts_dropped, fresh_path
 from chatterscope.sources import tables
 
 CATALOG = Catalog()
 query = CATALOG.query
 
 
-def _batch_table(spark: SparkSession, df: DataFrame, name: str, partition_by=()) -> DataFrame:
+def _batch_table(spark: SparkSession, df: DataFrame | list[DataFrame], name: str, partition_by=()) -> DataFrame:
     path = fresh_path(spark, name)
     tables.write_batches(df, path, partition_by)
-    return tables.read_batches(spark, path, df.schema)
+    schema = df.schema if isinstance(df, DataFrame) else df[0].schema
+    return tables.read_batches(spark, path, schema)
 
 
 @query(
@@ -43,9 +44,13 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(3),
     )
     keys = ["batch", "month", "community"]
-    counts = N.count_phrases(N.phrases(comments, keys), keys)
-    rows = _batch_table(spark, counts, "ngram-table")
-    return tables.upsert_last_wins(rows, ["ngram", "community", "month"])
+    with cuts_dropped(spark):
+        parts = N.phrase_rounds(comments, keys)
+        parts = [part.withColumn("round", F.lit(r)) for r, part in enumerate(parts)]
+        rows = _batch_table(spark, parts, "ngram-table", ["round"])
+    # a phrase is in one round only
+    rounds = [rows.where(F.col("round") == r).drop("round") for r in range(len(parts))]
+    return cut_rounds([tables.upsert_last_wins(each, ["ngram", "community", "month"]) for each in rounds])
 
 
 @query(

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SCAN_PARTITIONS = "spark.chatterscope.scanPartitions"
+#: Whether Spark deletes the shuffle files of a query as soon as it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Codec of large tables that are read a few times and then dropped.
+COMPACT = "zstd"
+#: Large shuffles are made in rounds of about so many rows each, and in so many rounds at most.
+ROUND_ROWS = 1 << 22
+ROUNDS = 8
+#: Folders of ``fresh_cut`` made inside each open ``cuts_dropped``.
+_open_cuts: list[list[str]] = []
 
 
 def get_spark(app: str = "chatterscope", master: str | None = None, **conf: object) -> SparkSession:
@@ -38,18 +49,71 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def fresh_cut(spark: SparkSession) -> str:
+    """A new path for an intermediate table."""
+    path = fresh_path(spark, "cut")
+    if _open_cuts:
+        _open_cuts[-1].append(path)
+    return path
+
+
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write the rows to the shared folder and go on from there.
 
     The result is computed once however often it is used, survives lost executors, and has a known
     size, by which Spark decides on broadcasts.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, "cut")
-    df.write.parquet(path)
+    path = fresh_cut(spark)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files, which else stay until the driver collects its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+@contextmanager
+def cuts_dropped(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end the intermediate tables written inside; nothing that reads them may be used later."""
+    _open_cuts.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _open_cuts.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def rounds_of(rows: int) -> int:
+    """In how many rounds so many rows are shuffled."""
+    return max(1, min(ROUNDS, -(-rows // ROUND_ROWS)))
+
+
+def cut_rounds(parts: Sequence[DataFrame]) -> DataFrame:
+    """The rows of all parts: a single part as it is, several written one after another to one folder, so that
+    no more than the shuffle files of one are on disk."""
+    first = parts[0]
+    if len(parts) == 1:
+        return first
+    spark, path = first.sparkSession, fresh_cut(first.sparkSession)
+    with shuffles_dropped(spark):
+        for part in parts:
+            part.write.mode("append").parquet(path, compression=COMPACT)
+    return spark.read.schema(first.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a scan to as many partitions as ``spark.chatterscope.scanPartitions`` says, if it is set.
 

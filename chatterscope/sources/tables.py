@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, StructType
 
-from chatterscope.session import cut_lineage
+from chatterscope.session import cut_lineage, cut_rounds, shuffles_dropped
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+    df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Replace those partitions of a table that ``df`` has rows for.
+    """Replace those partitions of a table that ``df`` has rows for, or append to them.
 
     The rebalance hint gathers the rows of a partition for few files and lets AQE split a partition
     that holds most rows over several tasks.  Files sorted by a lookup key can be skipped by it.
@@ -30,13 +30,18 @@ def write_partitioned(
     if sort_by:
         rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     (
-        rows.write.mode("overwrite")
+        rows.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def clear_partitions(df: DataFrame, path: str, column: str, owned: Sequence[object]) -> None:
     """Drop those of the partitions ``column=value`` of a table that the rows of a run, now written,
     left out, for values that the run owns.  What is read is then what the run computed."""
@@ -52,7 +57,7 @@ def clear_partitions(df: DataFrame, path: str, column: str, owned: Sequence[obje
 
 
 def write_batches(
-    df: DataFrame,
+    df: DataFrame | Sequence[DataFrame],
     path: str,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
@@ -60,11 +65,21 @@ def write_batches(
 ) -> None:
     """Write the rows of all batches in ``df`` (column batch), replacing those batches.
 
-    Batches that the run ``owned`` and has no rows for are emptied.
+    Batches that the run ``owned`` and has no rows for are emptied.  The rows may come in several parts; a new
+    table is then written part by part, so that only the shuffle files of one are on disk.
     """
+    folders = ["batch", *partition_by]
+    if not isinstance(df, DataFrame):
+        first = df[0]
+        if len(df) > 1 and not owned and not _exists(first.sparkSession, path):
+            with shuffles_dropped(first.sparkSession):
+                for k, part in enumerate(df):
+                    write_partitioned(part, path, folders, sort_by, "append" if k else "overwrite")
+            return
+        df = cut_rounds(df)
     if owned:
         df = cut_lineage(df)
-    write_partitioned(df, path, ["batch", *partition_by], sort_by)
+    write_partitioned(df, path, folders, sort_by)
     if owned:
         clear_partitions(df, path, "batch", owned)
 

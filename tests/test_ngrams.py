@@ -243,3 +243,30 @@ def test_filters_are_put_in_order_by_blocks(spark, monkeypatch):
     assert hashes.where(N._holds(filter_, F.col("hash"))).count() == 1000
     others = spark.range(1000, 11000).where(N._holds(filter_, F.xxhash64("id"))).count()
     assert others < 1500
+
+
+def shuffle_files(spark):
+    """The blocks of shuffles that are on disk."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = [str(b) for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks)]
+    return {name for name in names if "shuffle" in name}
+
+
+def test_all_phrases_are_counted_in_rounds_that_leave_no_shuffle_files(spark, sf_dir, monkeypatch):
+    from chatterscope import session
+    from chatterscope.plans import fixtures as X
+
+    comments = X.comments(spark, sf_dir)
+    odd = [(None, "big cats big cats"), ("a", None), ("a", ""), ("b", "the of"), ("b", "lone")]
+    rows = comments.selectExpr("community", "body").unionByName(spark.createDataFrame(odd, "community string, body string"))
+    whole = sorted(N.count_phrases(N.phrases(rows, ["community"]), ["community"]).collect(), key=str)
+    assert len(N.phrase_rounds(rows, ["community"])) == 1
+    monkeypatch.setattr(session, "ROUND_ROWS", 10_000)
+    before = shuffle_files(spark)
+    parts = N.phrase_rounds(rows, ["community"])
+    found = session.cut_rounds(parts)
+    assert shuffle_files(spark) <= before
+    assert 3 < len(parts) <= session.ROUNDS
+    assert sorted(found.collect(), key=str) == whole
+    assert max(part.count() for part in parts) < len(whole) / 2
+    assert N.phrase_rounds(rows.limit(0), ["community"])[0].count() == 0
