@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterscope.functions import text as T
-from chatterscope.session import cut_lineage
+from chatterscope.session import COMPACT, cut_lineage, cut_rounds, rounds_of
 
 # Marks that are trained on and marks that are classified.
 TRAINED_MARKS = (".", "?", "!")
@@ -23,6 +23,8 @@ SMALL_FEATURES = ("next_cap", "punct", "one_char")
 GAMMA = 0.5
 #: Stands for a feature's unseen values in the map of numbers; no value is equal to it.
 UNSEEN = "\x00"
+#: ``monotonically_increasing_id`` puts the number of the task above so many bits.
+TASK_BITS = 33
 
 _TOKEN = r"[\p{L}\p{N}_]+|\n+|[^\p{L}\p{N}_\s]"
 #: The same tokens and the white space between them: all of a text.
@@ -154,25 +156,38 @@ def mark_sentences(texts: DataFrame, model: DataFrame, text: str = "normalized")
     Texts are split once and the parts written.  Only distinct descriptions of candidates are scored;
     those that end a sentence are joined back (a description is shuffled with its candidates only if
     they are too many to be broadcast), and the places of a text's ends are gathered to an array, along which
-    its parts are cut.
+    its parts are cut.  Large tables are joined with these arrays in rounds of whole files, as the parts are
+    shuffled for it if the arrays are too many to be broadcast.
     """
     clean = F.replace(F.replace(F.col(text), F.lit(T.BREAK)), F.lit(T.TAIL))
     parts = texts.withColumn("parts", F.regexp_extract_all(clean, F.lit(PART), F.lit(0))).drop(text)
-    parts = cut_lineage(parts.withColumn("row", F.monotonically_increasing_id()))
+    parts = cut_lineage(parts.withColumn("row", F.monotonically_increasing_id()), COMPACT)
     numbered = F.transform("parts", lambda x, i: F.struct(x.alias("t"), i.alias("pos")))
     solid = F.filter(numbered, lambda p: ~F.substring(p["t"], 1, 1).isin(*_BLANKS))
     tokens = parts.select("row", solid.alias("s")).select("row", F.col("s.t").alias("t"), F.col("s.pos").alias("pos"))
-    found = cut_lineage(_described(tokens, SCORED_MARKS, "row").select("row", "pos", *FEATURES))
+    found = cut_lineage(_described(tokens, SCORED_MARKS, "row").select("row", "pos", *FEATURES), COMPACT)
     ends = boundary_model_score(found.select(*FEATURES).distinct(), model).where("boundary")
     ends = cut_lineage(ends.select(*FEATURES))
     places = found.join(ends, list(FEATURES), "left_semi").groupBy("row").agg(
         F.array_sort(F.collect_list("pos")).alias("places")
     )
-    marked = parts.join(places, "row", "left")
     none = F.array().cast("array<int>")
     before = F.concat(F.array(F.lit(-1)), F.coalesce("places", none))
     after = F.concat(F.coalesce("places", none), F.array(F.size("parts")))
     piece = F.zip_with(
         before, after, lambda a, b: F.array_join(F.slice("parts", a + 2, b - a - 1), "")
     )
-    return marked.withColumn(text, F.array_join(piece, T.BREAK)).drop("parts", "places", "row")
+
+    def marked(parts: DataFrame, places: DataFrame) -> DataFrame:
+        joined = parts.join(places, "row", "left")
+        return joined.withColumn(text, F.array_join(piece, T.BREAK)).drop("parts", "places", "row")
+
+    size = parts.agg(F.sum(F.size("parts")).alias("parts"), F.max("row").alias("row")).first()
+    rounds = rounds_of(size["parts"] or 0)
+    if rounds == 1:
+        return marked(parts, places)
+    # the upper bits of a row's number are those of the task that wrote it
+    tasks, places = (size["row"] >> TASK_BITS) + 1, cut_lineage(places, COMPACT)
+    ends_at = [tasks * r // rounds << TASK_BITS for r in range(rounds + 1)]
+    ranges = [F.col("row").between(a, b - 1) for a, b in zip(ends_at, ends_at[1:], strict=False) if a < b]
+    return cut_rounds([marked(parts.where(r), places.where(r)) for r in ranges])

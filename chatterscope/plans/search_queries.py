@@ -10,7 +10,7 @@ from chatterscope.operators import ngrams as N
 from chatterscope.operators import search as S
 from chatterscope.plans import fixtures as X
 from chatterscope.plans.catalog import Catalog
-from chatterscope.session import cut_lineage, fresh_path, spread
+from chatterscope.session import cut_lineage, cut_rounds, fresh_path, spread
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -132,4 +132,4 @@ SELECT month, n, ngram, count(*) AS cnt FROM phrases GROUP BY ALL"""
 def phrases_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrase counts by month, with sentences that end where the model says."""
     model = cut_lineage(BD.boundary_model_fit(BD.candidates(documents(spark, sf_dir))))
-    return N.count_phrases(N.phrases(X.comments(spark, sf_dir), ["month"], model=model), ["month"])
+    return cut_rounds(N.phrase_rounds(X.comments(spark, sf_dir), ["month"], model=model))

@@ -270,3 +270,34 @@ def test_all_phrases_are_counted_in_rounds_that_leave_no_shuffle_files(spark, sf
     assert sorted(found.collect(), key=str) == whole
     assert max(part.count() for part in parts) < len(whole) / 2
     assert N.phrase_rounds(rows.limit(0), ["community"])[0].count() == 0
+
+
+def test_the_model_is_applied_in_rounds(spark, sf_dir, monkeypatch):
+    from chatterscope import session
+    from chatterscope.operators import boundary as B
+    from chatterscope.plans import fixtures as X
+
+    docs = X.table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "text")
+    texts = docs.withColumnRenamed("text", "normalized").repartition(5).unionByName(
+        spark.createDataFrame([(-1, None), (-2, ""), (-3, "no mark")], "id long, normalized string")
+    )
+    model = session.cut_lineage(B.boundary_model_fit(B.candidates(docs)))
+    whole = sorted(B.mark_sentences(texts, model).collect())
+    assert any(T.BREAK in (r.normalized or "") for r in whole)
+    written, write = [], B.cut_rounds
+    monkeypatch.setattr(B, "cut_rounds", lambda parts: written.append(len(parts)) or write(parts))
+    monkeypatch.setattr(session, "ROUND_ROWS", 20_000)
+    assert sorted(B.mark_sentences(texts, model).collect()) == whole
+    assert written[0] > 1
+
+
+def test_phrases_by_model_shuffles_its_counts_in_rounds(spark, sf_dir, monkeypatch):
+    from chatterscope import session
+    from chatterscope.plans import registry
+
+    query = registry.queries()["phrases_by_model"]
+    whole = set(query(spark, sf_dir).collect())
+    monkeypatch.setattr(session, "ROUND_ROWS", 10_000, raising=False)
+    found = query(spark, sf_dir)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert set(found.collect()) == whole
