@@ -13,18 +13,17 @@ from chatterscope.plans.activity_queries import DAILY, events_as_comments
 from chatterscope.plans.catalog import Catalog
 from chatterscope.plans.graph_queries import BOUGHT, year_edges
 from chatterscope.plans.ngram_queries import BUCKETED, FLOOR, frequent_counts
-from chatterscope.session import cut_rounds, cuts_dropped, fresh_path
+from chatterscope.session import cut_rounds, fresh_cut, fresh_path
 from chatterscope.sources import tables
 
 CATALOG = Catalog()
 query = CATALOG.query
 
 
-def _batch_table(spark: SparkSession, df: DataFrame | list[DataFrame], name: str, partition_by=()) -> DataFrame:
-    path = fresh_path(spark, name)
+def _batch_table(spark: SparkSession, df: DataFrame, name: str, partition_by=()) -> DataFrame:
+    path = fresh_cut(spark, name)
     tables.write_batches(df, path, partition_by)
-    schema = df.schema if isinstance(df, DataFrame) else df[0].schema
-    return tables.read_batches(spark, path, schema)
+    return tables.read_batches(spark, path, df.schema)
 
 
 @query(
@@ -35,7 +34,9 @@ b AS (SELECT CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3
 SELECT ngram, community, month, n, max_by(cnt, batch) AS cnt FROM b GROUP BY ALL"""
 )
 def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrase counts arrive per language; for a phrase, community and month the last language counts."""
+    """Phrase counts arrive per language; for a phrase, community and month the last language counts.
+
+    A round of ``phrase_rounds`` holds all counts of its phrases, so it has a batch table of its own."""
     comments = X.comments(spark, sf_dir).withColumn(
         "batch",
         F.when(F.col("lang") == "de", 0)
@@ -44,13 +45,12 @@ def upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(3),
     )
     keys = ["batch", "month", "community"]
-    with cuts_dropped(spark):
-        parts = N.phrase_rounds(comments, keys)
-        parts = [part.withColumn("round", F.lit(r)) for r, part in enumerate(parts)]
-        rows = _batch_table(spark, parts, "ngram-table", ["round"])
-    # a phrase is in one round only
-    rounds = [rows.where(F.col("round") == r).drop("round") for r in range(len(parts))]
-    return cut_rounds([tables.upsert_last_wins(each, ["ngram", "community", "month"]) for each in rounds])
+
+    def merged(counts: DataFrame) -> DataFrame:
+        rows = _batch_table(spark, counts, "ngram-table")
+        return tables.upsert_last_wins(rows, ["ngram", "community", "month"])
+
+    return cut_rounds(N.phrase_rounds(comments, keys), merged)
 
 
 @query(

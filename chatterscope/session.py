@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,9 +49,9 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def fresh_cut(spark: SparkSession) -> str:
+def fresh_cut(spark: SparkSession, name: str = "cut") -> str:
     """A new path for an intermediate table."""
-    path = fresh_path(spark, "cut")
+    path = fresh_path(spark, name)
     if _open_cuts:
         _open_cuts[-1].append(path)
     return path
@@ -101,17 +101,19 @@ def rounds_of(rows: int) -> int:
     return max(1, min(ROUNDS, -(-rows // ROUND_ROWS)))
 
 
-def cut_rounds(parts: Sequence[DataFrame]) -> DataFrame:
-    """The rows of all parts: a single part as it is, several written one after another to one folder, so that
-    no more than the shuffle files of one are on disk."""
-    first = parts[0]
+def cut_rounds(parts: Sequence[DataFrame], of: Callable[[DataFrame], DataFrame] = lambda part: part) -> DataFrame:
+    """The rows that ``of`` makes of all parts, which must not depend on each other: of a single part as they are, of
+    several written one after another to one folder.  Shuffle files and intermediate tables of no more than one part
+    are on disk."""
     if len(parts) == 1:
-        return first
-    spark, path = first.sparkSession, fresh_cut(first.sparkSession)
-    with shuffles_dropped(spark):
-        for part in parts:
-            part.write.mode("append").parquet(path, compression=COMPACT)
-    return spark.read.schema(first.schema).parquet(path)
+        return of(parts[0])
+    spark = parts[0].sparkSession
+    path = fresh_cut(spark)
+    for part in parts:
+        with cuts_dropped(spark), shuffles_dropped(spark):
+            rows = of(part)
+            rows.write.mode("append").parquet(path, compression=COMPACT)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
