@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "4g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.ui.retainedStages": "100000",  # tests add up the shuffles of all stages
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
